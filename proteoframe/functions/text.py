@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,7 +12,20 @@ from proteoframe.functions import constants as K
 
 def count_of(text: Column, letters: str) -> Column:
     """How many characters of ``text`` are in ``letters``."""
-    return F.length(text) - F.length(F.translate(text, letters, ""))
+    rest = text
+    for a in letters:
+        rest = F.replace(rest, F.lit(a), F.lit(""))
+    return F.length(text) - F.length(rest)
+
+
+def charge_marks(seq: Column) -> Column:
+    """The sequence with every charged residue written as ``+``."""
+    return F.regexp_replace(seq, f"[{K.CHARGED}]", "+")
+
+
+def distinct_letters(text: Column) -> Column:
+    """Number of different letters in a short string."""
+    return F.size(F.array_distinct(F.split(text, "")))
 
 
 def lookup(key: Column, table: dict, default=None) -> Column:
@@ -89,12 +102,33 @@ def context(seq_window: Column, before: int, after: int) -> Column:
 
 
 def entropy(window: Column, width: int) -> Column:
-    """Shannon entropy in bits of a fixed-width residue window."""
-    terms = []
-    for aa in K.ALPHABET:
-        p = count_of(window, aa) / F.lit(float(width))
-        terms.append(F.when(p > 0, -p * F.log2(p)).otherwise(0.0))
-    return reduce(lambda x, y: x + y, terms)
+    """Shannon entropy in bits of a fixed-width residue window.
+
+    A fold over the letters present keeps the generated method small enough
+    for the JVM to compile it.
+    """
+    def share(a: Column) -> Column:
+        return F.size(F.filter(F.split(window, ""), lambda c: c == a)) / F.lit(float(width))
+
+    return F.aggregate(
+        F.array_distinct(F.split(window, "")), F.lit(0.0),
+        lambda acc, a: acc - share(a) * F.log2(share(a)),
+    )
+
+
+def max_distinct(width: int, limit: float) -> int:
+    """Most different letters a window can hold with entropy below ``limit``.
+
+    For k letters the entropy is least when one letter fills all but k-1 places.
+    """
+    k = 1
+    while k < width:
+        rare, common = k / width, (width - k) / width
+        least = -rare * math.log2(1 / width) - common * math.log2(common)
+        if least >= limit:
+            break
+        k += 1
+    return k
 
 
 def band(value: Column, cuts: list[tuple[float, str]], otherwise: str) -> Column:

@@ -22,7 +22,7 @@ def exclude_protected(df: DataFrame, protected: DataFrame | None, on: str = "pos
 
 def cysteine_hits(seqs: DataFrame) -> DataFrame:
     """Every cysteine with its risk and bracketed context."""
-    w = position_windows(seqs, 19, 19).filter(F.col("window").substr(20, 1) == "C")
+    w = position_windows(seqs, 19, 19, centre="C")
     near_end = F.least(F.col("position") - 1, F.col("seq_len") - F.col("position")) < 5
     charged = S.count_of(F.col("window").substr(17, 7), K.CHARGED) >= 2
     crowded = S.count_of(F.col("window"), "C") > 1
@@ -101,14 +101,14 @@ def motif_hits(seqs: DataFrame, run_length: int = 5) -> DataFrame:
     the letter then marks the hit wherever the tile borders fall.
     """
     marked = seqs.select(
-        "pid",
-        F.regexp_replace(F.regexp_replace("sequence", "RR", "rR"), "KK", "kK").alias("sequence"),
+        "pid", "sequence",
+        F.regexp_replace(F.regexp_replace("sequence", "RR", "rR"), "KK", "kK").alias("twins"),
     )
-    w = position_windows(marked, 3, 3).select(
-        "pid", "position",
-        F.col("window").substr(4, 1).alias("mark"),
-        F.upper(F.col("window").substr(4, 2)).alias("pair"),
-        F.upper("window").alias("window"),
+    w = position_windows(
+        marked, 3, 3, centre="NDMRK", also={"twins": F.col("twins")}
+    ).select(
+        "pid", "position", "window",
+        F.col("twins").substr(4, 1).alias("mark"), F.col("window").substr(4, 2).alias("pair"),
     )
     amide = S.lookup(F.col("pair"), K.DEAMIDATION_RULES)
     dibasic = F.when(
@@ -198,9 +198,9 @@ def proline_stalls(seqs: DataFrame) -> DataFrame:
 
 def charge_clusters(seqs: DataFrame, width: int = 10, threshold: int = 7) -> DataFrame:
     """Every full window with at least ``threshold`` charged residues."""
-    n = S.count_of(F.col("window"), K.CHARGED)
+    n = S.count_of(F.col("charge"), "+")
     return (
-        position_windows(seqs, 0, width - 1)
+        position_windows(seqs, 0, width - 1, also={"charge": S.charge_marks(F.col("sequence"))})
         .filter((F.col("position") + (width - 1) <= F.col("seq_len")) & (n >= threshold))
         .select(
             "pid", F.lit("charge_cluster").alias("category"), "position",
@@ -211,10 +211,28 @@ def charge_clusters(seqs: DataFrame, width: int = 10, threshold: int = 7) -> Dat
 
 
 def low_complexity_windows(seqs: DataFrame, width: int = 20, limit: float = 1.5) -> DataFrame:
-    """Every full window whose Shannon entropy is below ``limit`` bits."""
+    """Every full window whose Shannon entropy is below ``limit`` bits.
+
+    Low entropy bounds the number of different letters. A window starting at p
+    contains the aligned span that starts at the next multiple of five, so only
+    windows around spans with few letters need their entropy computed.
+    """
+    step = 5
+    short = width - step
+    spans = (
+        position_windows(seqs, step - 1, width - 1, step=step)
+        .filter(F.col("position") + (short - 1) <= F.col("seq_len"))
+        .filter(S.distinct_letters(F.col("window").substr(step, short))
+                <= S.max_distinct(width, limit))
+    )
+    last = F.least(F.col("position"), F.col("seq_len") - (width - 1))
+    first = F.greatest(F.lit(1), F.col("position") - (step - 1))
     return (
-        position_windows(seqs, 0, width - 1)
-        .filter(F.col("position") + (width - 1) <= F.col("seq_len"))
+        spans.filter(last >= first)
+        .select("pid", "position", "window", F.explode(F.sequence(first, last)).alias("at"))
+        .select("pid", F.col("at").alias("position"),
+                F.col("window").substr(F.col("at") - F.col("position") + step, F.lit(width))
+                .alias("window"))
         .filter(F.round(S.entropy(F.col("window"), width), 9) < limit)
         .select(
             "pid", F.lit("low_complexity").alias("category"), "position",
@@ -285,7 +303,9 @@ def flagged_positions(hits: DataFrame, flags: DataFrame, muts: DataFrame, seqs:
 def surface_proxy_positions(seqs: DataFrame, protected: DataFrame | None = None,
                             top: int = 50) -> DataFrame:
     """First ``top`` positions with two or more charged residues within +-2."""
-    w = position_windows(seqs, 2, 2).filter(S.count_of(F.col("window"), K.CHARGED) >= 2)
+    w = position_windows(
+        seqs, 2, 2, also={"charge": S.charge_marks(F.col("sequence"))}
+    ).filter(S.count_of(F.col("charge"), "+") >= 2)
     open_ = exclude_protected(w.select("pid", "position"), protected)
     by = Window.partitionBy("pid").orderBy("position")
     return open_.withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= top).drop("_r")

@@ -1,8 +1,8 @@
 """Positional views of residue strings that need no shuffle.
 
-A sequence stays inside its own row: it is cut into overlapping tiles, each
-tile is exploded into positions, and every position sees its neighbourhood as
-a short string. Filters and scores then run in generated code over the scan.
+A sequence stays inside its own row until it is exploded into positions, and
+every position sees its neighbourhood as a short string. Filters and scores
+then run in generated code over the scan, before any exchange.
 """
 
 from __future__ import annotations
@@ -14,44 +14,35 @@ from proteoframe.functions import constants as K
 
 
 def position_windows(df: DataFrame, before: int, after: int, text: str = "sequence",
-                     keys: tuple[str, ...] = ("pid",)) -> DataFrame:
+                     keys: tuple[str, ...] = ("pid",), centre: str | None = None,
+                     also: dict[str, Column] | None = None, step: int = 1) -> DataFrame:
     """One row per residue: ``keys, position, seq_len, window``.
 
     ``window`` holds the residues ``position-before .. position+after``; places
-    outside the sequence are ``-``. Tiles grow with the square root of the
-    length so that cutting a very long sequence stays below quadratic cost.
+    outside the sequence are ``-``. ``centre`` keeps only positions whose own
+    residue is one of the given letters. ``also`` names further strings of the
+    same length (recoded copies) to cut in parallel. Strings are cut as bytes:
+    a byte slice costs its width, a character slice the distance from the start.
     """
     width = before + 1 + after
-    n = F.length(F.col(text))
-    tile = F.greatest(F.lit(128), F.ceil(F.sqrt(n.cast("double"))).cast("int"))
-    tiles = (
-        df.filter(n > 0)
-        .select(
-            *keys,
-            n.alias("seq_len"),
-            tile.alias("_size"),
-            F.concat(F.lit(K.GAP * before), F.col(text), F.lit(K.GAP * after)).alias("_padded"),
-        )
-        .select(
-            *keys, "seq_len", "_size", "_padded",
-            F.explode(F.sequence(F.lit(0), F.col("seq_len") - 1, F.col("_size"))).alias("_off"),
-        )
-        .select(
-            *keys, "seq_len", "_off",
-            F.least(F.col("_size"), F.col("seq_len") - F.col("_off")).alias("_n"),
-            F.col("_padded").substr(
-                F.col("_off") + 1, F.col("_size") + F.lit(width - 1)
-            ).alias("_tile"),
-        )
+
+    def pad(c: Column) -> Column:
+        return F.concat(F.lit(K.GAP * before), c, F.lit(K.GAP * after)).cast("binary")
+
+    texts = {"window": F.col(text), **(also or {})}
+    src = df.filter(F.length(text) > 0).select(
+        *keys, F.length(text).alias("seq_len"), *[pad(c).alias(n) for n, c in texts.items()]
     )
-    return tiles.select(
-        *keys, "seq_len", "_off", "_tile",
-        F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"),
-    ).select(
-        *keys,
-        (F.col("_off") + F.col("_i")).alias("position"),
-        "seq_len",
-        F.col("_tile").substr(F.col("_i"), F.lit(width)).alias("window"),
+    rows = src.select(
+        *keys, "seq_len", *texts,
+        F.explode(F.sequence(F.lit(1), F.col("seq_len"), F.lit(step))).alias("position"),
+    )
+    if centre is not None:
+        own = F.col("window").substr(F.col("position") + before, F.lit(1)).cast("string")
+        rows = rows.filter(own.isin(*centre))
+    return rows.select(
+        *keys, "position", "seq_len",
+        *[F.col(n).substr(F.col("position"), F.lit(width)).cast("string").alias(n) for n in texts],
     )
 
 

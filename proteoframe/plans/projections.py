@@ -18,9 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def letters(text: Column) -> Column:
-    """ASCII letters of a text in upper case."""
-    return F.upper(F.regexp_replace(text, "[^A-Za-z]", ""))
+def letters(text: Column, drop: str = "") -> Column:
+    """ASCII letters of a text in upper case, without the dropped ones.
+
+    One pass of one pattern; everything beyond ASCII goes before upper-casing.
+    """
+    keep = "".join(c for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c not in drop)
+    return F.upper(F.regexp_replace(text, f"[^{keep}{keep.lower()}]+", ""))
 
 
 def sequences(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
@@ -28,7 +32,7 @@ def sequences(spark: SparkSession, sf_dir: str, name: str = "documents", key: st
     src = spread(table(spark, sf_dir, name).select(key, "text"), key)
     return src.select(
         F.col(key).alias("pid"),
-        F.translate(letters(F.col("text")), "BJOUXZ", "").alias("sequence"),
+        letters(F.col("text"), drop="BJOUXZ").alias("sequence"),
     ).filter(F.length("sequence") > 0)
 
 
@@ -46,3 +50,101 @@ def protected_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def letter(index: Column) -> Column:
     return F.lit(K.ALPHABET).substr((index % 20 + 1).cast("int"), F.lit(1))
+
+
+def document_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as mutation requests on documents.
+
+    Positions run a little past the end and some wild types are wrong, so both
+    kinds of rejection occur: ``pid, set_id, position, wt, mut``.
+    """
+    seqs = sequences(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("pid"), F.col("l_orderkey").alias("set_id"),
+        "l_linenumber", "l_suppkey", "l_tax",
+    )
+    n = F.length("sequence")
+    pos = (F.col("set_id") * 31 + F.col("l_linenumber") * 7) % (n + 2) + 1
+    return li.join(seqs, "pid").select(
+        "pid", "set_id", pos.alias("position"),
+        F.when((F.col("l_tax") > 0.005) & (pos <= n), S.residue_at(F.col("sequence"), pos))
+        .otherwise("W").alias("wt"),
+        letter(F.col("l_suppkey")).alias("mut"),
+    ).distinct()
+
+
+def mutation_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests of one order on one document as a mutation array."""
+    return document_mutations(spark, sf_dir).groupBy("pid", "set_id").agg(
+        F.sort_array(F.collect_list(F.struct("position", "wt", "mut"))).alias("mutations")
+    )
+
+
+def design_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation turn as the design that follows from the turn before."""
+    turns = sequences_of_turns(spark, sf_dir)
+    before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"),
+                          F.col("sequence").alias("parent_sequence"))
+    return turns.join(before, ["conv_id", "turn"]).select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("pid"), "parent_sequence", "sequence"
+    )
+
+
+def sequences_of_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return src.select(
+        "conv_id", F.col("turn").cast("bigint").alias("turn"),
+        letters(F.col("text"), drop="BJOUZ").alias("sequence"),
+    ).filter(F.length("sequence") > 0)
+
+
+def wrapped_lines(spark: SparkSession, sf_dir: str, width: int = 60) -> DataFrame:
+    """Whole texts wrapped like aligned records: ``doc_id, lang, rec_idx, line``.
+
+    Letters outside the alphabet (but X) become gaps; the last line is short.
+    """
+    src = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    text = F.regexp_replace(letters(F.col("text")), "[BJOUZ]", K.GAP)
+    rows = src.select("doc_id", "lang", text.cast("binary").alias("t")).filter(F.length("t") > 0)
+    return rows.select(
+        "doc_id", "lang", "t",
+        F.explode(F.sequence(F.lit(0), F.length("t") - 1, F.lit(width))).alias("off"),
+    ).select(
+        "doc_id", "lang",
+        (F.col("doc_id") * 1000000 + F.floor(F.col("off") / width)).alias("rec_idx"),
+        F.col("t").substr(F.col("off") + 1, F.lit(width)).cast("string").alias("line"),
+    )
+
+
+def msa(spark: SparkSession, sf_dir: str, width: int = 60) -> DataFrame:
+    """One alignment per language, every text contributes all its lines."""
+    return wrapped_lines(spark, sf_dir, width).select(
+        F.col("lang").alias("pid"), "rec_idx", F.rpad("line", width, K.GAP).alias("aligned")
+    )
+
+
+def document_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One alignment per text from its unpadded lines; most are ragged."""
+    return wrapped_lines(spark, sf_dir).select(
+        F.col("doc_id").alias("pid"), "rec_idx", F.col("line").alias("aligned")
+    )
+
+
+def wild_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ungapped last record for half of the alignments, an absent one otherwise."""
+    last = msa(spark, sf_dir).groupBy("pid").agg(F.max_by("aligned", "rec_idx").alias("a"))
+    return last.select(
+        "pid",
+        F.when(F.col("pid").isin("en", "fr"), F.replace("a", F.lit(K.GAP), F.lit("")))
+        .otherwise("ABSENT").alias("sequence"),
+    )
+
+
+def source_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one source as its search hits, the first one being the query."""
+    src = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+    return src.select(
+        F.col("source").alias("pid"), F.col("doc_id").alias("idx"),
+        F.when(F.col("doc_id") < 10, "query").otherwise(F.col("doc_id").cast("string")).alias("name"),
+        letters(F.col("text"), drop="BJOUXZ").alias("sequence"),
+    )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from proteoframe.plans import sequence_queries
+from proteoframe.plans import biophys_queries, msa_queries, sequence_queries
 
-MODULES = (sequence_queries,)
+MODULES = (sequence_queries, biophys_queries, msa_queries)
 
 
 def queries() -> dict:
-    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
+    return {name: fn for m in MODULES for name, fn in m.CATALOG.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.SQL.items()}
+    return {name: sql for m in MODULES for name, sql in m.CATALOG.sql.items()}

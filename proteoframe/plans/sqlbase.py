@@ -36,3 +36,99 @@ def r6(expr: str) -> str:
 
 def letter(index: str) -> str:
     return f"substr('{AA}', CAST(({index}) % 20 + 1 AS INT), 1)"
+
+
+DOCMUT = f"""
+docmut AS (
+  SELECT DISTINCT pid, set_id, position,
+         CASE WHEN l_tax > 0.005 AND position <= length(sequence) THEN substr(sequence, position, 1)
+              ELSE 'W' END AS wt,
+         {letter('l_suppkey')} AS mut
+  FROM (SELECT s.pid, l_orderkey AS set_id, sequence, l_tax, l_suppkey,
+               (l_orderkey * 31 + l_linenumber * 7) % (length(sequence) + 2) + 1 AS position
+        FROM lineitem JOIN seqs s ON s.pid = l_partkey)
+)"""
+
+TURNS = """
+turns AS (
+  SELECT * FROM (SELECT conv_id, CAST(turn AS BIGINT) AS turn,
+         translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BJOUZ', '') AS sequence
+  FROM conversations) WHERE length(sequence) > 0),
+pairs AS (
+  SELECT t.conv_id * 1000 + t.turn AS pid, b.sequence AS parent_sequence, t.sequence
+  FROM turns t JOIN turns b ON b.conv_id = t.conv_id AND b.turn + 1 = t.turn)"""
+
+LINES = """
+lines AS (
+  SELECT doc_id, lang, doc_id * 1000000 + off AS rec_idx, substr(t, off * 60 + 1, 60) AS line
+  FROM (SELECT doc_id, lang, t, unnest(range(0, (length(t) + 59) // 60)) AS off
+        FROM (SELECT doc_id, lang, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')),
+                                             'BJOUZ', '-----') AS t FROM documents))
+)"""
+
+MSA = """
+msa AS (SELECT lang AS pid, rec_idx, rpad(line, 60, '-') AS aligned FROM lines),
+wt AS (SELECT pid, min_by(aligned, rec_idx) AS aligned FROM msa GROUP BY pid),
+cmap AS (
+  SELECT pid, col, wt, row_number() OVER (PARTITION BY pid ORDER BY col) AS position
+  FROM (SELECT pid, unnest(range(1, 61)) AS col, unnest(string_split(aligned, '')) AS wt FROM wt)
+  WHERE wt <> '-'),
+cells AS (
+  SELECT pid, rec_idx, unnest(range(1, 61)) AS col, unnest(string_split(aligned, '')) AS aa FROM msa),
+counts AS (
+  SELECT c.pid, position, wt, aa, count(*) AS n, min(rec_idx) AS first_idx
+  FROM cells c JOIN cmap m ON m.pid = c.pid AND m.col = c.col WHERE aa <> '-'
+  GROUP BY c.pid, position, wt, aa)"""
+
+CONSENSUS = """
+ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY pid, position) AS depth,
+         sum(CASE WHEN aa = wt THEN n ELSE 0 END) OVER (PARTITION BY pid, position) AS n_wt,
+         row_number() OVER (PARTITION BY pid, position ORDER BY n DESC, first_idx) AS rn
+  FROM counts),
+calls AS (
+  SELECT pid, position, wt, aa AS consensus, n / depth AS conservation, n_wt / depth AS wt_frequency,
+         CAST(depth AS BIGINT) AS depth
+  FROM ranked WHERE rn = 1 AND depth >= 3)"""
+
+CONSMUT = """
+cmut AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY pid ORDER BY conservation DESC, position) AS rank
+    FROM calls WHERE consensus <> wt AND conservation >= {cut}) WHERE rank <= 20)"""
+
+PSSM = """
+depth AS (
+  SELECT m.pid, m.position, m.wt, coalesce(sum(n), 0) AS depth
+  FROM cmap m LEFT JOIN counts c ON c.pid = m.pid AND c.position = m.position
+       AND contains('ACDEFGHIKLMNPQRSTVWY', c.aa)
+  GROUP BY m.pid, m.position, m.wt),
+pssm AS (
+  SELECT d.pid, d.position, d.wt, a.aa,
+         log2((coalesce(c.n, 0) + 0.5::DOUBLE) / (depth + 10) * 20) AS log_odds
+  FROM depth d CROSS JOIN (SELECT unnest(string_split('ACDEFGHIKLMNPQRSTVWY', '')) AS aa) a
+  LEFT JOIN counts c ON c.pid = d.pid AND c.position = d.position AND c.aa = a.aa)"""
+PSSMMUT = """
+pmut AS (
+  SELECT * FROM (
+    SELECT p.pid, p.position, p.wt, p.aa AS mut, p.log_odds, coalesce(w.log_odds, 0) AS wt_log_odds,
+           p.log_odds - coalesce(w.log_odds, 0) AS score,
+           row_number() OVER (PARTITION BY p.pid
+             ORDER BY round(p.log_odds - coalesce(w.log_odds, 0), 9) DESC, p.position, p.aa) AS rank
+    FROM pssm p LEFT JOIN pssm w ON w.pid = p.pid AND w.position = p.position AND w.aa = p.wt
+    WHERE p.aa <> p.wt AND round(p.log_odds - coalesce(w.log_odds, 0), 9) >= {cut})
+  WHERE rank <= 30)"""
+
+HOMOLOGS = """
+hits AS (
+  SELECT source AS pid, doc_id AS idx, CASE WHEN doc_id < 10 THEN 'query' ELSE CAST(doc_id AS VARCHAR) END AS name,
+         translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BJOUXZ', '') AS sequence
+  FROM documents),
+body AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY idx) AS k FROM hits)
+  WHERE length(sequence) > 0 AND NOT (k = 1 AND name IN ('query', '101'))),
+uniq AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY pid, sequence ORDER BY idx) AS copy FROM body) WHERE copy = 1),
+kept AS (SELECT * FROM (
+  SELECT pid, idx, name, sequence, row_number() OVER (PARTITION BY pid ORDER BY idx) AS rank FROM uniq)
+  WHERE rank <= 500)"""
