@@ -12,7 +12,12 @@ class Catalog:
 
     def query(self, sql: str | None = None):
         def add(fn):
-            self.queries[fn.__name__] = lambda spark, sf_dir: tidy(fn(spark, sf_dir))
+            def run(spark, sf_dir):
+                return tidy(fn(spark, sf_dir))
+
+            run.__doc__ = fn.__doc__
+            run.module = fn.__module__.rsplit(".", 1)[-1]
+            self.queries[fn.__name__] = run
             if sql is not None:
                 self.sql[fn.__name__] = sql
             return fn

@@ -168,8 +168,8 @@ ident AS (
   FROM ov)
 SELECT q AS query, t AS target, shared, diagonal, overlap, {r6('identity')} AS identity,
        row_number() OVER (PARTITION BY q ORDER BY identity DESC, shared DESC, t) AS rank
-FROM ident WHERE identity >= 0.3
+FROM ident WHERE identity >= 0.3 QUALIFY rank <= 500
 """))
 def kmer_homologs(spark, d):
     queries = P.sequences(spark, d, "benchmark", "item_id")
-    return M.kmer_homologs(queries, P.sequences(spark, d), k=20, min_identity=0.3, max_hits=10**6)
+    return M.kmer_homologs(queries, P.sequences(spark, d), k=20, min_identity=0.3)

@@ -148,3 +148,161 @@ def source_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("doc_id") < 10, "query").otherwise(F.col("doc_id").cast("string")).alias("name"),
         letters(F.col("text"), drop="BJOUXZ").alias("sequence"),
     )
+
+
+RUN_STEPS = {
+    1: ("cysteine_scan", "cys_risk"),
+    2: ("motif_scan", "motif_risk_fixed"),
+    3: ("consensus_design", "consensus_conservation"),
+    4: ("pssm_analysis", "pssm_log_odds"),
+    5: ("cavity_fill", "cavity_burial"),
+    6: ("surface_patch", "surface_sap"),
+    7: ("stability_ddg", "ddg"),
+}
+
+
+def run_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single mutants proposed for each supplier's protein by seven steps.
+
+    Line items with one supplier, position, residue and line number are one
+    variant; sums are kept in integer cents so that every order gives one value.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("pid"), "l_linenumber",
+        (F.col("l_partkey") % 50 + 1).alias("position"),
+        letter(F.col("l_quantity").cast("bigint")).alias("mut"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.round(F.col("l_discount") * 100).cast("bigint").alias("disc"),
+        F.round(F.col("l_tax") * 100).cast("bigint").alias("tax"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+        (F.col("l_linestatus") == "F").alias("final"),
+    )
+    wt = letter(F.col("pid") * 7 + F.col("position") * 3)
+    g = li.withColumn("wt", wt).filter("wt <> mut").groupBy(
+        "pid", "l_linenumber", "position", "wt", "mut"
+    ).agg(
+        F.count("*").alias("n"), F.sum("cents").alias("cents"), F.sum("disc").alias("disc"),
+        F.sum("tax").alias("tax"), F.max("returned").alias("returned"), F.max("final").alias("final"),
+    )
+    label = S.mutation_label(F.col("wt"), F.col("position"), F.col("mut"))
+    n = F.col("n").cast("double")
+    return g.select(
+        "pid",
+        F.concat_ws(":", F.col("pid").cast("string"), F.col("l_linenumber").cast("string"), label)
+        .alias("candidate_id"),
+        F.col("l_linenumber").cast("bigint").alias("step_no"),
+        S.lookup(F.col("l_linenumber"), {k: v[0] for k, v in RUN_STEPS.items()}).alias("source_step"),
+        "position", "wt", "mut",
+        (F.col("cents") / n / F.lit(791900.0) - F.lit(6.3)).alias("score"),
+        F.when(F.col("returned"), F.col("disc") / n / F.lit(7.0) - F.lit(0.7)).alias("e1_fitness"),
+        F.when(F.col("final"), F.col("tax") / n / F.lit(3.0) - F.lit(1.3)).alias("esm1v_delta"),
+    )
+
+
+def run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long score table of the run: ``pid, candidate_id, step_no, score_key, value``."""
+    v = run_variants(spark, sf_dir)
+    key = S.lookup(F.col("step_no"), {k: s[1] for k, s in RUN_STEPS.items()})
+    entries = F.array(
+        F.struct(key.alias("score_key"), F.col("score").alias("value")),
+        F.struct(F.lit("e1_fitness").alias("score_key"), F.col("e1_fitness").alias("value")),
+        F.struct(F.lit("esm1v_delta").alias("score_key"), F.col("esm1v_delta").alias("value")),
+    )
+    return v.select("pid", "candidate_id", "step_no", F.explode(entries).alias("e")).select(
+        "pid", "candidate_id", "step_no", "e.score_key", "e.value"
+    ).filter("value is not null")
+
+
+def run_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("pid"), F.col("s_suppkey").cast("string").alias("candidate_id"),
+        F.lit(None).cast("string").alias("parent_id"), F.col("s_name").alias("name"),
+    )
+
+
+ORDER_KEYS = {1: "e1_fitness", 2: "esm1v_delta", 3: "ddg", 4: "surface_sap", 5: "mpnn_score"}
+
+
+def order_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of each order seen as a candidate: ``candidate_id, score_key, value``.
+
+    Line numbers 1-5 give model scores, 6 a structure confidence, 7 a validation
+    confidence that is 0.0 for single items.
+    """
+    li = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_orderkey").alias("candidate_id"), "l_linenumber"
+    ).agg(
+        F.count("*").alias("n"),
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("qty"),
+    )
+    n = F.col("n").cast("double")
+    confidence = F.when(F.col("l_linenumber") == 6, F.col("qty") / n * 2.0).otherwise(
+        F.col("qty") / n * 2.0 - 2.0
+    )
+    key = S.lookup(F.col("l_linenumber"), {**ORDER_KEYS, 6: "plddt", 7: "val_plddt"})
+    return li.select(
+        "candidate_id", key.alias("score_key"),
+        F.when(F.col("l_linenumber") >= 6, confidence)
+        .otherwise(F.col("cents") / n / F.lit(791900.0) - F.lit(6.3)).alias("value"),
+    )
+
+
+def order_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as candidates; the first order of a customer is the root."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    first = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("root"))
+    return o.join(first, "o_custkey").select(
+        F.col("o_custkey").alias("pid"), F.col("o_orderkey").alias("candidate_id"),
+        F.when(F.col("o_orderkey") != F.col("root"), F.col("root")).alias("parent_id"),
+    )
+
+
+def order_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mutation array of each order: ``candidate_id, mutations``."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("candidate_id"),
+        (F.col("l_partkey") % 300 + 1).alias("position"),
+        letter(F.col("l_suppkey")).alias("wt"),
+        letter(F.col("l_quantity").cast("bigint")).alias("mut"),
+    ).filter("wt <> mut")
+    return li.groupBy("candidate_id").agg(
+        F.sort_array(F.collect_set(F.struct("position", "wt", "mut"))).alias("mutations")
+    )
+
+
+def atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as residues: fifty make a chain, triples of components are atoms.
+
+    Glycine has no CB, one residue in 23 lacks its CA, one in 17 is a hetero
+    residue, so every branch of the geometry operators is taken.
+    """
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    e = e.withColumn("aa", letter(F.col("vec_id") * 7 + F.floor(F.col("vec_id") / 20)))
+
+    def atom(name: str, first: int, present: Column | None = None) -> Column:
+        s = F.struct(
+            F.lit(name).alias("atom"), F.lit(name[0]).alias("element"),
+            *[(F.get("embedding", F.lit(first + i)).cast("double") * 40).alias(c) for i, c in enumerate("xyz")])
+        return s if present is None else F.when(present, s)
+
+    parts = F.array_compact(F.array(
+        atom("N", 6), atom("CA", 0, F.col("vec_id") % 23 != 5), atom("C", 9), atom("CB", 3, F.col("aa") != "G")))
+    return e.select(
+        F.floor(F.col("vec_id") / 50).alias("structure_id"), (F.col("vec_id") % 50 + 1).alias("position"),
+        "aa", (F.col("vec_id") % 17 == 3).alias("het"),
+        (F.abs(F.get("embedding", F.lit(12)).cast("double")) * 100 + 60).alias("bfactor"),
+        F.explode(parts).alias("a"),
+    ).select("structure_id", "position", "aa", "het", "bfactor", "a.*")
+
+
+def protected_residues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings").filter("label = 3")
+    return e.select(F.floor(F.col("vec_id") / 50).alias("structure_id"),
+                    (F.col("vec_id") % 50 + 1).alias("position"))
+
+
+def structure_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every chain next to the one before it."""
+    ids = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 50).alias("structure_b")).distinct()
+    return ids.filter("structure_b > 0").select((F.col("structure_b") - 1).alias("structure_a"), "structure_b")

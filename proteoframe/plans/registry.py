@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from proteoframe.plans import biophys_queries, msa_queries, sequence_queries
+from proteoframe.plans import (
+    biophys_queries, msa_queries, run_queries, sequence_queries, structure_queries)
 
-MODULES = (sequence_queries, biophys_queries, msa_queries)
+MODULES = (sequence_queries, biophys_queries, msa_queries, run_queries, structure_queries)
 
 
 def queries() -> dict:

@@ -132,3 +132,179 @@ uniq AS (SELECT * FROM (
 kept AS (SELECT * FROM (
   SELECT pid, idx, name, sequence, row_number() OVER (PARTITION BY pid ORDER BY idx) AS rank FROM uniq)
   WHERE rank <= 500)"""
+
+RUN = f"""
+rv AS (
+  SELECT *, pid || ':' || step_no || ':' || wt || position || mut AS candidate_id,
+         wt || position || mut AS label, cents / n::DOUBLE / 791900.0 - 6.3 AS score,
+         CASE WHEN returned THEN disc / n::DOUBLE / 7.0 - 0.7 END AS e1_fitness,
+         CASE WHEN final THEN tax / n::DOUBLE / 3.0 - 1.3 END AS esm1v_delta,
+         CASE step_no WHEN 1 THEN 'cysteine_scan' WHEN 2 THEN 'motif_scan' WHEN 3 THEN 'consensus_design'
+           WHEN 4 THEN 'pssm_analysis' WHEN 5 THEN 'cavity_fill' WHEN 6 THEN 'surface_patch'
+           ELSE 'stability_ddg' END AS source_step,
+         CASE step_no WHEN 1 THEN 'cys_risk' WHEN 2 THEN 'motif_risk_fixed' WHEN 3 THEN 'consensus_conservation'
+           WHEN 4 THEN 'pssm_log_odds' WHEN 5 THEN 'cavity_burial' WHEN 6 THEN 'surface_sap'
+           ELSE 'ddg' END AS own_key
+  FROM (
+    SELECT pid, CAST(l_linenumber AS BIGINT) AS step_no, position, wt, mut, count(*) AS n,
+           CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
+           CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS BIGINT) AS disc,
+           CAST(sum(CAST(round(l_tax * 100) AS BIGINT)) AS BIGINT) AS tax,
+           bool_or(l_returnflag = 'R') AS returned, bool_or(l_linestatus = 'F') AS final
+    FROM (SELECT *, l_suppkey AS pid, l_partkey % 50 + 1 AS position,
+                 {letter('l_suppkey * 7 + (l_partkey % 50 + 1) * 3')} AS wt,
+                 {letter('CAST(l_quantity AS BIGINT)')} AS mut FROM lineitem)
+    WHERE wt <> mut GROUP BY pid, l_linenumber, position, wt, mut))"""
+
+RSCORES = """
+rs AS (
+  SELECT pid, candidate_id, step_no, own_key AS score_key, score AS value FROM rv
+  UNION ALL SELECT pid, candidate_id, step_no, 'e1_fitness', e1_fitness FROM rv WHERE e1_fitness IS NOT NULL
+  UNION ALL SELECT pid, candidate_id, step_no, 'esm1v_delta', esm1v_delta FROM rv WHERE esm1v_delta IS NOT NULL)"""
+
+OSCORES = """
+os AS (
+  SELECT candidate_id,
+         CASE l WHEN 1 THEN 'e1_fitness' WHEN 2 THEN 'esm1v_delta' WHEN 3 THEN 'ddg' WHEN 4 THEN 'surface_sap'
+           WHEN 5 THEN 'mpnn_score' WHEN 6 THEN 'plddt' ELSE 'val_plddt' END AS score_key,
+         CASE WHEN l = 6 THEN qty / n::DOUBLE * 2.0 WHEN l = 7 THEN qty / n::DOUBLE * 2.0 - 2.0
+              ELSE cents / n::DOUBLE / 791900.0 - 6.3 END AS value
+  FROM (SELECT l_orderkey AS candidate_id, l_linenumber AS l, count(*) AS n,
+               CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
+               CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty
+        FROM lineitem GROUP BY l_orderkey, l_linenumber))"""
+
+OCANDS = """
+oc AS (
+  SELECT o_custkey AS pid, o_orderkey AS candidate_id,
+         CASE WHEN o_orderkey <> min(o_orderkey) OVER (PARTITION BY o_custkey)
+              THEN min(o_orderkey) OVER (PARTITION BY o_custkey) END AS parent_id
+  FROM orders)"""
+
+OMUTS = f"""
+om AS (
+  SELECT DISTINCT l_orderkey AS candidate_id, l_partkey % 300 + 1 AS position,
+         {letter('l_suppkey')} AS wt, {letter('CAST(l_quantity AS BIGINT)')} AS mut
+  FROM lineitem WHERE {letter('l_suppkey')} <> {letter('CAST(l_quantity AS BIGINT)')})"""
+
+COMPOSITE = """
+wts(score_key, weight) AS (VALUES ('e1_fitness', 0.25), ('esm1v_delta', 0.20), ('esmif1_delta', 0.15),
+  ('mpnn_score', 0.10), ('consensus_score', 0.10), ('pssm_delta', 0.10), ('ddg', 0.05),
+  ('cavity_burial', 0.025), ('surface_sap', 0.025)),
+st AS (SELECT score_key, avg(value) AS mean, stddev_pop(value) AS std, count(*) AS n
+       FROM {src} GROUP BY score_key HAVING count(*) > 1),
+comp AS (
+  SELECT candidate_id, sum(weight::DOUBLE * z * sgn) / sum(weight::DOUBLE) AS composite FROM (
+    SELECT s.candidate_id, w.weight,
+           CASE WHEN st.std IS NULL THEN s.value WHEN st.std > 1e-8 THEN (s.value - st.mean) / st.std ELSE 0 END AS z,
+           CASE WHEN s.score_key IN ('ddg', 'surface_sap') THEN -1 ELSE 1 END AS sgn
+    FROM {src} s JOIN wts w USING (score_key) LEFT JOIN st USING (score_key)) GROUP BY candidate_id)"""
+
+
+def _atom(name: str, first: int) -> str:
+    return (f"SELECT *, '{name}' AS atom, '{name[0]}' AS element, embedding[{first + 1}]::DOUBLE * 40 AS x, "
+            f"embedding[{first + 2}]::DOUBLE * 40 AS y, embedding[{first + 3}]::DOUBLE * 40 AS z FROM vecs")
+
+
+ATOMS = f"""
+vecs AS (
+  SELECT vec_id, vec_id // 50 AS structure_id, vec_id % 50 + 1 AS position, embedding, label,
+         {letter('vec_id * 7 + vec_id // 20')} AS aa, vec_id % 17 = 3 AS het,
+         abs(embedding[13]::DOUBLE) * 100 + 60 AS bfactor FROM embeddings),
+atoms AS (
+  {_atom('N', 6)} UNION ALL {_atom('CA', 0)} WHERE vec_id % 23 <> 5
+  UNION ALL {_atom('C', 9)} UNION ALL {_atom('CB', 3)} WHERE aa <> 'G'),
+protres AS (SELECT structure_id, position FROM vecs WHERE label = 3),
+pts AS (
+  SELECT structure_id, position, aa,
+         coalesce(max(x) FILTER (atom = 'CB'), max(x) FILTER (atom = 'CA')) AS bx,
+         coalesce(max(y) FILTER (atom = 'CB'), max(y) FILTER (atom = 'CA')) AS by,
+         coalesce(max(z) FILTER (atom = 'CB'), max(z) FILTER (atom = 'CA')) AS bz,
+         max(x) FILTER (atom = 'CA') AS ax, max(y) FILTER (atom = 'CA') AS ay, max(z) FILTER (atom = 'CA') AS az
+  FROM atoms WHERE NOT het AND atom IN ('CA', 'CB') GROUP BY structure_id, position, aa)"""
+
+DISULFIDE = """
+dist AS (
+  SELECT a.structure_id, a.position AS i, b.position AS j, a.aa AS wt_i, b.aa AS wt_j,
+         (a.bx - b.bx) ** 2 + (a.by - b.by) ** 2 + (a.bz - b.bz) ** 2 AS d2
+  FROM pts a JOIN pts b ON a.structure_id = b.structure_id AND b.position - a.position >= 4
+  WHERE (a.structure_id, a.position) NOT IN (SELECT (structure_id, position) FROM protres)
+    AND (b.structure_id, b.position) NOT IN (SELECT (structure_id, position) FROM protres)),
+ss AS (
+  SELECT structure_id, i, j, wt_i, wt_j, sqrt(d2) AS distance, -2.0 + 5.0 * abs(sqrt(d2) - 3.8) AS energy,
+         row_number() OVER (PARTITION BY structure_id ORDER BY abs(sqrt(d2) - 3.8), i, j) AS rank
+  FROM dist WHERE d2 BETWEEN 12.25 AND 20.25 QUALIFY rank <= 10)"""
+
+BURIAL = """
+bur AS (
+  SELECT a.structure_id, a.position, a.aa, count(DISTINCT b.position) - 1 AS contacts
+  FROM atoms a JOIN atoms b ON a.structure_id = b.structure_id
+   AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 <= 100
+  WHERE a.atom = 'CA' AND NOT a.het AND a.aa IN ('G', 'A', 'V', 'S', 'T')
+   AND (a.structure_id, a.position) NOT IN (SELECT (structure_id, position) FROM protres)
+  GROUP BY a.structure_id, a.position, a.aa)"""
+
+SASA = """
+sph AS (SELECT i, sqrt(1 - z * z) * cos(i * pi() * (3 - sqrt(5))) AS ux,
+               sqrt(1 - z * z) * sin(i * pi() * (3 - sqrt(5))) AS uy, z AS uz
+        FROM (SELECT i, 1 - (2 * i + 1) / 100.0::DOUBLE AS z FROM (SELECT unnest(range(100)) AS i))),
+rad AS (SELECT *, CASE element WHEN 'N' THEN 1.55 ELSE 1.7 END::DOUBLE + 1.4 AS r FROM atoms),
+tp AS (SELECT structure_id, position, atom, r, i, x + r * ux AS px, y + r * uy AS py, z + r * uz AS pz FROM rad, sph),
+hid AS (
+  SELECT DISTINCT t.structure_id, t.position, t.atom, t.i
+  FROM tp t JOIN rad b ON b.structure_id = t.structure_id AND (b.position <> t.position OR b.atom <> t.atom)
+   AND (px - b.x) ** 2 + (py - b.y) ** 2 + (pz - b.z) ** 2 < b.r ** 2),
+asa AS (
+  SELECT r.structure_id, r.position, r.aa, r.het, r.atom,
+         (100 - count(h.i)) * (4 * pi() / 100) * any_value(r.r) ** 2 AS sasa
+  FROM rad r LEFT JOIN hid h ON h.structure_id = r.structure_id AND h.position = r.position AND h.atom = r.atom
+  GROUP BY r.structure_id, r.position, r.aa, r.het, r.atom)"""
+
+SURFACE = """
+rsa AS (SELECT structure_id, position, aa, het, sum(sasa) AS sasa FROM asa GROUP BY ALL),
+surf AS (
+  SELECT structure_id, position, aa, sasa / CASE aa WHEN 'I' THEN 197 WHEN 'L' THEN 201 WHEN 'M' THEN 224
+           WHEN 'F' THEN 240 WHEN 'V' THEN 174 ELSE 285 END AS exposure,
+         exposure * CASE aa WHEN 'I' THEN 4.5 WHEN 'L' THEN 3.8 WHEN 'M' THEN 1.9 WHEN 'F' THEN 2.8
+           WHEN 'V' THEN 4.2 ELSE -0.9 END::DOUBLE AS score
+  FROM rsa WHERE NOT het AND aa IN ('I', 'L', 'M', 'F', 'V', 'W') AND round(exposure, 9) >= 0.25
+   AND (structure_id, position) NOT IN (SELECT (structure_id, position) FROM protres))"""
+
+PATCH = """
+sp AS (SELECT s.*, ax, ay, az FROM surf s LEFT JOIN pts p ON p.structure_id = s.structure_id AND p.position = s.position),
+edge AS (
+  SELECT a.structure_id, a.position AS u, b.position AS v FROM sp a JOIN sp b
+    ON a.structure_id = b.structure_id AND a.position <> b.position
+  WHERE CASE WHEN a.ax IS NULL OR b.ax IS NULL THEN abs(a.position - b.position) <= 5
+             ELSE (a.ax - b.ax) ** 2 + (a.ay - b.ay) ** 2 + (a.az - b.az) ** 2 <= 64 END),
+reach AS (
+  SELECT structure_id, position AS u, position AS v FROM sp
+  UNION
+  SELECT r.structure_id, r.u, e.v FROM reach r JOIN edge e ON e.structure_id = r.structure_id AND e.u = r.v),
+lab AS (SELECT structure_id, u AS position, min(v) AS patch, count(*) AS patch_size FROM reach GROUP BY structure_id, u),
+mem AS (SELECT s.structure_id, s.position, aa, exposure, score, patch, patch_size
+        FROM surf s JOIN lab l ON l.structure_id = s.structure_id AND l.position = s.position WHERE patch_size >= 3)"""
+
+RMSD = """
+ord AS (SELECT structure_id, ax, ay, az, row_number() OVER (PARTITION BY structure_id ORDER BY position) AS k
+        FROM pts WHERE ax IS NOT NULL),
+sums AS (
+  SELECT a.structure_id AS sa, b.structure_id AS sb, count(*)::DOUBLE AS n,
+    sum(a.ax ** 2 + a.ay ** 2 + a.az ** 2) - (sum(a.ax) ** 2 + sum(a.ay) ** 2 + sum(a.az) ** 2) / count(*) AS ea,
+    sum(b.ax ** 2 + b.ay ** 2 + b.az ** 2) - (sum(b.ax) ** 2 + sum(b.ay) ** 2 + sum(b.az) ** 2) / count(*) AS eb,
+    sum(a.ax * b.ax) - sum(a.ax) * sum(b.ax) / count(*) AS h11, sum(a.ax * b.ay) - sum(a.ax) * sum(b.ay) / count(*) AS h12,
+    sum(a.ax * b.az) - sum(a.ax) * sum(b.az) / count(*) AS h13, sum(a.ay * b.ax) - sum(a.ay) * sum(b.ax) / count(*) AS h21,
+    sum(a.ay * b.ay) - sum(a.ay) * sum(b.ay) / count(*) AS h22, sum(a.ay * b.az) - sum(a.ay) * sum(b.az) / count(*) AS h23,
+    sum(a.az * b.ax) - sum(a.az) * sum(b.ax) / count(*) AS h31, sum(a.az * b.ay) - sum(a.az) * sum(b.ay) / count(*) AS h32,
+    sum(a.az * b.az) - sum(a.az) * sum(b.az) / count(*) AS h33
+  FROM ord a JOIN ord b ON b.structure_id = a.structure_id + 1 AND b.k = a.k GROUP BY 1, 2),
+mm AS (
+  SELECT *, h11*h11+h21*h21+h31*h31 AS m11, h12*h12+h22*h22+h32*h32 AS m22, h13*h13+h23*h23+h33*h33 AS m33,
+    h11*h12+h21*h22+h31*h32 AS m12, h11*h13+h21*h23+h31*h33 AS m13, h12*h13+h22*h23+h32*h33 AS m23,
+    h11*(h22*h33-h23*h32) - h12*(h21*h33-h23*h31) + h13*(h21*h32-h22*h31) AS det, (m11+m22+m33)/3 AS q,
+    sqrt(((m11-q)**2+(m22-q)**2+(m33-q)**2+2*(m12**2+m13**2+m23**2))/6) AS p,
+    ((m11-q)*((m22-q)*(m33-q)-m23*m23) - m12*(m12*(m33-q)-m23*m13) + m13*(m12*m23-(m22-q)*m13)) / (2*p**3) AS r,
+    acos(greatest(-1, least(1, r))) / 3 AS phi, q + 2*p*cos(phi) AS e1, q + 2*p*cos(phi + 2*pi()/3) AS e3
+  FROM sums),
+rm AS (SELECT sa, sb, n::BIGINT AS n_atoms, CASE WHEN n >= 10 THEN sqrt(greatest(0, (ea + eb - 2 * (sqrt(greatest(0, e1))
+    + sqrt(greatest(0, 3*q-e1-e3)) + sign(det) * sqrt(greatest(0, e3)))) / n)) END AS rmsd FROM mm)"""

@@ -40,7 +40,7 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
         if pd.api.types.is_float_dtype(df[c]):
             df[c] = df[c].astype("float64")
         elif pd.api.types.is_integer_dtype(df[c]):
-            df[c] = df[c].astype("int64")
+            df[c] = df[c].astype("int64" if df[c].notna().all() else "float64")
         else:
             df[c] = df[c].astype("object").where(df[c].notna(), None)
     if len(df.columns) and len(df):
@@ -73,7 +73,8 @@ def main() -> None:
     queries, sql = entry.queries(), entry.oracle_sql()
     bad = 0
     for name in queries:
-        if wanted and not any(w in name for w in wanted):
+        module = getattr(queries[name], "module", "")
+        if wanted and not any(w in name or w == module for w in wanted):
             continue
         try:
             t0 = time.time()
