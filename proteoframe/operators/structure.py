@@ -238,6 +238,8 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> D
 
 def patches(surface: DataFrame, points: DataFrame, distance: float = 8.0, min_size: int = 3) -> DataFrame:
     """Clusters of at least ``min_size`` exposed hydrophobic residues."""
+    use_checkpoint_dir(surface.sparkSession)
+    surface = surface.checkpoint()  # used by vertices, edges and members
     labels = components(surface, patch_edges(surface, points, distance))
     sizes = labels.groupBy("structure_id", "label").agg(F.count("*").alias("patch_size"))
     return (

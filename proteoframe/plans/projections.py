@@ -306,3 +306,47 @@ def structure_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every chain next to the one before it."""
     ids = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 50).alias("structure_b")).distinct()
     return ids.filter("structure_b > 0").select((F.col("structure_b") - 1).alias("structure_a"), "structure_b")
+
+
+def benchmark_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences(spark, sf_dir, "benchmark", "item_id")
+
+
+def logprobs(res: DataFrame, models: int = 2) -> DataFrame:
+    """A log-probability for every residue, letter and model of ``res``."""
+    alphabet = F.array(*[F.lit(a) for a in K.ALPHABET])
+    rows = res.select("pid", "position", F.explode(F.sequence(F.lit(1), F.lit(models))).alias("model"))
+    rows = rows.select("pid", "position", "model", F.explode(alphabet).alias("aa"))
+    lp = -F.log(1.0 + (F.col("position") * 31 + F.ascii("aa") * 17 + F.col("pid") * F.col("model")) % 97)
+    return rows.withColumn("lp", lp)
+
+
+def benchmark_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as mutation sets on the benchmark texts."""
+    seqs = benchmark_sequences(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("pid"), F.col("l_orderkey").alias("set_id"), "l_partkey", "l_quantity")
+    pos = F.col("l_partkey") % F.length("sequence") + 1
+    return li.join(seqs, "pid").select(
+        "pid", "set_id", pos.alias("position"), S.residue_at(F.col("sequence"), pos).alias("wt"),
+        letter(F.col("l_quantity").cast("bigint")).alias("mut"),
+    ).filter("wt <> mut").distinct()
+
+
+def text_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as candidates; the first one of a source is the root."""
+    src = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+    rows = src.select("source", "doc_id", letters(F.col("text"), drop="BJOUXZ").alias("sequence"))
+    first = table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("root"))
+    return rows.join(first, "source").select(
+        F.col("source").alias("pid"), F.col("doc_id").alias("candidate_id"),
+        F.when(F.col("doc_id") != F.col("root"), F.col("root")).alias("parent_id"), "sequence")
+
+
+def vector_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as a string of 64 letters, ranked by id: ``pid, rank, sequence``."""
+    code = F.transform("embedding", lambda e: F.lit(K.ALPHABET).substr(
+        F.greatest(F.lit(1), F.least(F.lit(20), F.floor((e.cast("double") + 0.5) * 20).cast("int") + 1)), F.lit(1)))
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("label").cast("bigint").alias("pid"), F.col("vec_id").alias("rank"),
+        F.array_join(code, "").alias("sequence"))

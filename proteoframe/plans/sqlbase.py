@@ -308,3 +308,35 @@ mm AS (
   FROM sums),
 rm AS (SELECT sa, sb, n::BIGINT AS n_atoms, CASE WHEN n >= 10 THEN sqrt(greatest(0, (ea + eb - 2 * (sqrt(greatest(0, e1))
     + sqrt(greatest(0, 3*q-e1-e3)) + sign(det) * sqrt(greatest(0, e3)))) / n)) END AS rmsd FROM mm)"""
+
+BSEQ = """
+seqs AS (SELECT item_id AS pid,
+  translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BJOUXZ', '') AS sequence FROM benchmark)"""
+
+LOGPROBS = """
+lps AS (
+  SELECT pid, position, model, aa,
+         -ln(1.0::DOUBLE + (position * 31 + ascii(aa) * 17 + pid * model) % 97) AS lp
+  FROM (SELECT pid, position FROM res) CROSS JOIN (SELECT unnest([1, 2]) AS model)
+  CROSS JOIN (SELECT unnest(string_split('ACDEFGHIKLMNPQRSTVWY', '')) AS aa))"""
+
+BMUT = f"""
+bmut AS (
+  SELECT DISTINCT pid, set_id, position, wt, mut FROM (
+    SELECT s.pid, l_orderkey AS set_id, l_partkey % length(sequence) + 1 AS position,
+           substr(sequence, l_partkey % length(sequence) + 1, 1) AS wt, {letter('CAST(l_quantity AS BIGINT)')} AS mut
+    FROM lineitem JOIN seqs s ON s.pid = l_suppkey) WHERE wt <> mut)"""
+
+TCAND = """
+tc AS (
+  SELECT source AS pid, doc_id AS candidate_id,
+         CASE WHEN doc_id <> min(doc_id) OVER (PARTITION BY source) THEN min(doc_id) OVER (PARTITION BY source) END AS parent_id,
+         translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BJOUXZ', '') AS sequence
+  FROM documents)"""
+
+VSEQ = """
+vs AS (
+  SELECT CAST(label AS BIGINT) AS pid, vec_id AS rank,
+         array_to_string(list_transform(embedding, lambda e: substr('ACDEFGHIKLMNPQRSTVWY',
+           CAST(greatest(1, least(20, floor((e::DOUBLE + 0.5) * 20) + 1)) AS INT), 1)), '') AS sequence
+  FROM embeddings)"""

@@ -16,7 +16,7 @@ query = CATALOG.query
 
 
 @query(with_(ATOMS, body=f"""
-SELECT structure_id, position, aa, {', '.join(f"{r6(c)} AS {c}" for c in ('bx', 'by', 'bz', 'ax', 'ay', 'az'))} FROM pts
+SELECT structure_id, position, aa, {', '.join(r6('pts.' + c) + ' AS "' + c + '"' for c in ('bx', 'by', 'bz', 'ax', 'ay', 'az'))} FROM pts
 """))
 def residue_points(spark, d):
     p = G.residue_points(P.atoms(spark, d))
