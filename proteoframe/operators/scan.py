@@ -330,7 +330,8 @@ def fixed_positions(seqs: DataFrame, flagged: DataFrame, protected: DataFrame,
     free = flagged.select("pid", "position").join(
         protected.select("pid", "position"), ["pid", "position"], "left_anti"
     )
-    return target_positions(seqs).join(free, ["pid", "position"], "left_anti")
+    kept = target_positions(seqs).join(free, ["pid", "position"], "left_anti")
+    return kept.unionByName(protected.select("pid", "position")).distinct()
 
 
 def motif_positions(*sets: DataFrame) -> DataFrame:

@@ -217,14 +217,17 @@ def flagged_positions(spark, d):
 
 
 @query(with_(SEQS, RES, MOTIF, FLAGS, PROT, DOCMUT, FLAGGED, body="""
-SELECT s.pid, length(any_value(sequence)) - count(f.position) AS n_fixed,
-       CAST(length(any_value(sequence)) * (length(any_value(sequence)) + 1) // 2 - coalesce(sum(f.position), 0) AS BIGINT) AS position_sum
-FROM seqs s LEFT JOIN fl f ON f.pid = s.pid GROUP BY s.pid
+SELECT s.pid, count(k.position) AS n_fixed, CAST(coalesce(sum(k.position), 0) AS BIGINT) AS position_sum
+FROM seqs s LEFT JOIN (
+  (SELECT pid, position FROM res EXCEPT SELECT pid, position FROM fl) UNION SELECT pid, position FROM prot) k
+  ON k.pid = s.pid GROUP BY s.pid
 """))
 def fixed_positions(spark, d):
     seqs, prot = P.sequences(spark, d), P.protected_positions(spark, d)
     fixed = scan.fixed_positions(seqs, _flagged(spark, d, seqs, prot), prot)
-    return fixed.groupBy("pid").agg(F.count("*").alias("n_fixed"), F.sum("position").alias("position_sum"))
+    per = fixed.groupBy("pid").agg(F.count("*").alias("n"), F.sum("position").alias("s"))
+    return seqs.select("pid").join(per, "pid", "left").select(
+        "pid", F.coalesce("n", F.lit(0)).alias("n_fixed"), F.coalesce("s", F.lit(0)).alias("position_sum"))
 
 
 @query(with_(LINES, MSA, PSSM, PSSMMUT.format(cut=2.0), body=f"""
