@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,9 +24,13 @@ def charge_marks(seq: Column) -> Column:
     return F.regexp_replace(seq, f"[{K.CHARGED}]", "+")
 
 
-def distinct_letters(text: Column) -> Column:
-    """Number of different letters in a short string."""
-    return F.size(F.array_distinct(F.split(text, "")))
+def distinct_letters(letters: list[Column]) -> Column:
+    """How many different upper-case letters are among the given ones.
+
+    Each letter sets its bit in one integer; nothing is split or collected.
+    """
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ascii(c) - 65) for c in letters]
+    return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), bits))
 
 
 def lookup(key: Column, table: dict, default=None) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proteoframe.functions import constants as K
@@ -22,7 +22,7 @@ def exclude_protected(df: DataFrame, protected: DataFrame | None, on: str = "pos
 
 def cysteine_hits(seqs: DataFrame) -> DataFrame:
     """Every cysteine with its risk and bracketed context."""
-    w = position_windows(seqs, 19, 19, centre="C")
+    w = position_windows(seqs, 19, 19, where=lambda at: at() == "C")
     near_end = F.least(F.col("position") - 1, F.col("seq_len") - F.col("position")) < 5
     charged = S.count_of(F.col("window").substr(17, 7), K.CHARGED) >= 2
     crowded = S.count_of(F.col("window"), "C") > 1
@@ -104,8 +104,10 @@ def motif_hits(seqs: DataFrame, run_length: int = 5) -> DataFrame:
         "pid", "sequence",
         F.regexp_replace(F.regexp_replace("sequence", "RR", "rR"), "KK", "kK").alias("twins"),
     )
+    pairs = [*K.DEAMIDATION_RULES, "KR", "RK"]
     w = position_windows(
-        marked, 3, 3, centre="NDMRK", also={"twins": F.col("twins")}
+        marked, 3, 3, also={"twins": F.col("twins")},
+        where=lambda at: at(0, 1, "twins").isin("M", "r", "k") | at(0, 2).isin(*pairs),
     ).select(
         "pid", "position", "window",
         F.col("twins").substr(4, 1).alias("mark"), F.col("window").substr(4, 2).alias("pair"),
@@ -122,7 +124,7 @@ def motif_hits(seqs: DataFrame, run_length: int = 5) -> DataFrame:
         .when(dibasic.isNotNull(), "proteolysis")
     )
     first, second = F.col("pair").substr(1, 1), F.col("pair").substr(2, 1)
-    local = w.withColumn("category", category).filter("category is not null").select(
+    local = w.withColumn("category", category).select(
         "pid", "category",
         F.when(is_met, F.concat(F.lit("Met"), F.col("position").cast("string")))
         .otherwise(F.col("pair")).alias("pattern"),
@@ -169,77 +171,92 @@ def motif_variants(hits: DataFrame, protected: DataFrame | None = None) -> DataF
 FLAG_COLUMNS = ("pid", "category", "position", "length", "residues", "risk")
 
 
-def homopolymers(seqs: DataFrame, threshold: int = 5) -> DataFrame:
-    return runs(seqs, threshold).select(
-        "pid", F.lit("homopolymer").alias("category"), F.col("start").alias("position"),
-        "length", "residues",
-        F.least(0.3 + 0.1 * (F.col("length") - threshold), F.lit(1.0)).alias("risk"),
-    )
+def _homopolymer_risk(n: Column, threshold: int) -> Column:
+    return F.least(0.3 + 0.1 * (n - threshold), F.lit(1.0))
 
 
-def proline_runs(seqs: DataFrame, threshold: int = 3) -> DataFrame:
-    return runs(seqs, threshold, "P").select(
-        "pid", F.lit("proline_run").alias("category"), F.col("start").alias("position"),
-        "length", "residues",
-        F.least(0.4 + 0.2 * (F.col("length") - threshold), F.lit(1.0)).alias("risk"),
-    )
+def _proline_risk(n: Column, threshold: int) -> Column:
+    return F.least(0.4 + 0.2 * (n - threshold), F.lit(1.0))
 
 
-def proline_stalls(seqs: DataFrame) -> DataFrame:
-    """``PP.P`` without overlap; a lower-case p marks the start of each match."""
-    marked = seqs.filter(F.col("sequence").rlike("PP.P")).select(
-        "pid", F.regexp_replace("sequence", "P(P.P)", "p$1").alias("sequence")
-    )
-    return position_windows(marked, 0, 3).filter(F.col("window").startswith("p")).select(
-        "pid", F.lit("proline_stall").alias("category"), "position",
-        F.lit(4).alias("length"), F.upper("window").alias("residues"), F.lit(0.4).alias("risk"),
-    )
+def run_flags(seqs: DataFrame, homopolymer: int = 5, proline: int = 3) -> DataFrame:
+    """Homopolymer and proline runs from one search for repeated residues.
 
+    A long proline run is flagged as both.
+    """
+    n = F.col("length")
+    flags = F.array_compact(F.array(
+        F.when(n >= homopolymer, F.struct(
+            F.lit("homopolymer").alias("category"), _homopolymer_risk(n, homopolymer).alias("risk"))),
+        F.when((n >= proline) & F.col("residues").startswith("P"), F.struct(
+            F.lit("proline_run").alias("category"), _proline_risk(n, proline).alias("risk"))),
+    ))
+    return runs(seqs, min(homopolymer, proline)).select(
+        "pid", F.col("start").alias("position"), "length", "residues", F.explode(flags).alias("f")
+    ).select("pid", "f.category", "position", "length", "residues", "f.risk")
+
+
+def window_flags(seqs: DataFrame, charge_width: int = 10, charge_limit: int = 7,
+                 entropy_width: int = 20, entropy_limit: float = 1.5) -> DataFrame:
+    """Stall motifs, charge clusters and low-complexity windows in one pass.
+
+    * ``PP.P`` matches without overlap: a lower-case p marks each match's start.
+    * A charge cluster is a full window with at least ``charge_limit`` charges.
+    * Low entropy bounds the number of different letters. A window starting at p
+      contains the aligned span that starts at the next multiple of five, so the
+      entropy is computed only around spans with few letters.
+    """
+    step = 5
+    span = entropy_width - step
+    before, after = step - 1, entropy_width - 1
+    marked = F.regexp_replace("sequence", "P(P.P)", "p$1")
+    few = S.max_distinct(entropy_width, entropy_limit)
+    left = F.col("seq_len") - F.col("position") + 1  # residues from here to the end
+    first = F.greatest(F.lit(1), F.col("position") - before)
+    last = F.least(F.col("position"), F.col("seq_len") - after)
 
-def charge_clusters(seqs: DataFrame, width: int = 10, threshold: int = 7) -> DataFrame:
-    """Every full window with at least ``threshold`` charged residues."""
-    n = S.count_of(F.col("charge"), "+")
-    return (
-        position_windows(seqs, 0, width - 1, also={"charge": S.charge_marks(F.col("sequence"))})
-        .filter((F.col("position") + (width - 1) <= F.col("seq_len")) & (n >= threshold))
-        .select(
-            "pid", F.lit("charge_cluster").alias("category"), "position",
-            F.lit(width).alias("length"), F.col("window").alias("residues"),
-            (0.3 + 0.1 * (n - threshold)).alias("risk"),
-        )
-    )
+    def charges(marks: Column) -> Column:
+        return charge_width - F.length(F.replace(marks, F.lit("+"), F.lit("")))
 
+    def is_cluster(marks: Column) -> Column:
+        return (left >= charge_width) & (charges(marks) >= charge_limit)
 
-def low_complexity_windows(seqs: DataFrame, width: int = 20, limit: float = 1.5) -> DataFrame:
-    """Every full window whose Shannon entropy is below ``limit`` bits.
+    def is_span(letters: list[Column]) -> Column:
+        return ((F.col("position") % step == 1) & (left >= span) & (last >= first)
+                & (S.distinct_letters(letters) <= few))
 
-    Low entropy bounds the number of different letters. A window starting at p
-    contains the aligned span that starts at the next multiple of five, so only
-    windows around spans with few letters need their entropy computed.
-    """
-    step = 5
-    short = width - step
-    spans = (
-        position_windows(seqs, step - 1, width - 1, step=step)
-        .filter(F.col("position") + (short - 1) <= F.col("seq_len"))
-        .filter(S.distinct_letters(F.col("window").substr(step, short))
-                <= S.max_distinct(width, limit))
-    )
-    last = F.least(F.col("position"), F.col("seq_len") - (width - 1))
-    first = F.greatest(F.lit(1), F.col("position") - (step - 1))
-    return (
-        spans.filter(last >= first)
-        .select("pid", "position", "window", F.explode(F.sequence(first, last)).alias("at"))
-        .select("pid", F.col("at").alias("position"),
-                F.col("window").substr(F.col("at") - F.col("position") + step, F.lit(width))
-                .alias("window"))
-        .filter(F.round(S.entropy(F.col("window"), width), 9) < limit)
-        .select(
-            "pid", F.lit("low_complexity").alias("category"), "position",
-            F.lit(width).alias("length"), F.col("window").alias("residues"),
-            F.lit(0.3).alias("risk"),
-        )
+    w = position_windows(
+        seqs, before, after,
+        also={"charge": S.charge_marks(F.col("sequence")), "stall": marked},
+        where=lambda at: (at(0, 1, "stall") == "p") | is_cluster(at(0, charge_width, "charge"))
+        | is_span([at(k) for k in range(span)]),
     )
+    marks = F.col("charge").substr(step, charge_width)
+    letters = [F.col("window").substr(step + k, 1) for k in range(span)]
+    inside = F.when(is_span(letters), F.sequence(first, last)).otherwise(
+        F.array().cast("array<int>"))
+
+    def flag(category: str, position: Column, n: int, risk: Column) -> Column:
+        return F.struct(
+            F.lit(category).alias("category"), position.alias("position"), F.lit(n).alias("length"),
+            F.col("window").substr(position - F.col("position") + step, F.lit(n)).alias("residues"),
+            risk.alias("risk"))
+
+    here = F.array_compact(F.array(
+        F.when(F.col("stall").substr(step, 1) == "p", flag("proline_stall", F.col("position"), 4, F.lit(0.4))),
+        F.when(is_cluster(marks), flag("charge_cluster", F.col("position"), charge_width,
+                                       0.3 + 0.1 * (charges(marks) - charge_limit))),
+    ))
+    spans = F.transform(inside, lambda at: flag("low_complexity", at, entropy_width, F.lit(0.3)))
+    rows = w.select(
+        "pid", F.explode(F.concat(here, spans)).alias("f")
+    ).select("pid", "f.category", "f.position", "f.length", "f.residues", "f.risk")
+    # few windows have few letters, so few reach the entropy itself
+    poor = S.distinct_letters([F.col("residues").substr(k + 1, 1) for k in range(entropy_width)]) <= few
+    return rows.filter(
+        F.when(F.col("category") != "low_complexity", True)
+        .when(~poor, False)
+        .otherwise(F.round(S.entropy(F.col("residues"), entropy_width), 9) < entropy_limit))
 
 
 def merge_intervals(flags: DataFrame, gap: int = 10) -> DataFrame:
@@ -263,15 +280,12 @@ def merge_intervals(flags: DataFrame, gap: int = 10) -> DataFrame:
     ).select(*FLAG_COLUMNS)
 
 
-def low_complexity(seqs: DataFrame) -> DataFrame:
-    return merge_intervals(low_complexity_windows(seqs))
-
-
 def complexity_flags(seqs: DataFrame) -> DataFrame:
-    out = homopolymers(seqs)
-    for part in (proline_runs, proline_stalls, charge_clusters, low_complexity):
-        out = out.unionByName(part(seqs))
-    return out.select(*FLAG_COLUMNS)
+    """All complexity flags; overlapping low-complexity windows are merged."""
+    windows = window_flags(seqs)
+    single = windows.filter("category <> 'low_complexity'")
+    merged = merge_intervals(windows.filter("category = 'low_complexity'"))
+    return run_flags(seqs).unionByName(single).unionByName(merged).select(*FLAG_COLUMNS)
 
 
 def complexity_totals(seqs: DataFrame, flags: DataFrame) -> DataFrame:

@@ -119,17 +119,14 @@ def score_correlation(scores: DataFrame, keys: list[str]) -> DataFrame:
     """
     keys = sorted(keys)
     wide = scores.groupBy("candidate_id").pivot("score_key", keys).agg(F.max("value"))
-    cells = []
-    for a in keys:
-        for b in keys:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            if a == b:
-                r = F.lit(1.0)
-            else:
-                value = F.corr(a, b)
-                r = F.when((F.count_if(both) < 3) | value.isNull() | F.isnan(value), 0.0).otherwise(value)
-            cells.append(F.struct(F.lit(a).alias("key_x"), F.lit(b).alias("key_y"), r.alias("r")))
-    return wide.agg(F.array(*cells).alias("m")).select(F.inline("m"))
+    cells = [F.struct(F.lit(k).alias("key_x"), F.lit(k).alias("key_y"), F.lit(1.0).alias("r")) for k in keys]
+    pairs = [(a, b) for n, a in enumerate(keys) for b in keys[n + 1:]]
+    sums = wide.agg(*[F.corr(a, b).alias(f"r{n}") for n, (a, b) in enumerate(pairs)],
+                    *[F.count(F.col(a) + F.col(b)).alias(f"n{n}") for n, (a, b) in enumerate(pairs)])
+    for n, (a, b) in enumerate(pairs):
+        r = F.when((F.col(f"n{n}") < 3) | F.col(f"r{n}").isNull() | F.isnan(f"r{n}"), 0.0).otherwise(F.col(f"r{n}"))
+        cells += [F.struct(F.lit(x).alias("key_x"), F.lit(y).alias("key_y"), r.alias("r")) for x, y in ((a, b), (b, a))]
+    return sums.select(F.inline(F.array(*cells)))
 
 
 def score_histogram(scores: DataFrame, key: str, bins: int = 30) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from proteoframe.functions import constants as K
 from proteoframe.functions import text as S
 from proteoframe.operators.ranking import top_per_key
-from proteoframe.session import use_checkpoint_dir
+from proteoframe.session import hashed, use_checkpoint_dir
 
 XYZ = ("x", "y", "z")
 
@@ -31,6 +31,7 @@ def grid_pairs(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
                     *[cube(c).alias(f"_{c}") for c in XYZ])
     for c in XYZ:
         left = left.withColumn("_s", F.explode(shifts)).withColumn(f"_{c}", F.col(f"_{c}") + F.col("_s")).drop("_s")
+    left = hashed(left, "structure_id", "_x", "_y", "_z")
     right = b.select(*[F.col(c).alias(c if c == "structure_id" else f"{c}_b") for c in b.columns],
                      *[cube(c).alias(f"_{c}") for c in XYZ])
     joined = left.join(right, ["structure_id", "_x", "_y", "_z"]).drop("_x", "_y", "_z")
@@ -257,24 +258,43 @@ def surface_variants(members: DataFrame, top: int = 10) -> DataFrame:
 
 # --------------------------------------------------------------- superposition
 
-def _singular_sum(h: list[list[Column]]) -> Column:
-    """Sum of the singular values of a 3x3 matrix, the smallest signed by the determinant."""
-    m = [[sum((h[k][i] * h[k][j] for k in (1, 2)), h[0][i] * h[0][j]) for j in range(3)] for i in range(3)]
-    det = (h[0][0] * (h[1][1] * h[2][2] - h[1][2] * h[2][1])
-           - h[0][1] * (h[1][0] * h[2][2] - h[1][2] * h[2][0])
-           + h[0][2] * (h[1][0] * h[2][1] - h[1][1] * h[2][0]))
-    q = (m[0][0] + m[1][1] + m[2][2]) / 3
-    off = m[0][1] ** 2 + m[0][2] ** 2 + m[1][2] ** 2
-    p = F.sqrt(((m[0][0] - q) ** 2 + (m[1][1] - q) ** 2 + (m[2][2] - q) ** 2 + 2 * off) / 6)
-    a, b, c = m[0][0] - q, m[1][1] - q, m[2][2] - q
-    d, e, f = m[0][1], m[1][2], m[0][2]
-    det_b = a * (b * c - e * e) - d * (d * c - e * f) + f * (d * e - b * f)
-    r = F.when(p > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), det_b / (2 * p ** 3)))).otherwise(1.0)
-    phi = F.acos(r) / 3
-    big = q + 2 * p * F.cos(phi)
-    small = q + 2 * p * F.cos(phi + 2 * math.pi / 3)
-    roots = [F.sqrt(F.greatest(x, F.lit(0.0))) for x in (big, 3 * q - big - small, small)]
-    return roots[0] + roots[1] + F.when(det < 0, -roots[2]).otherwise(roots[2])
+def _with_singular_sum(df: DataFrame) -> DataFrame:
+    """Add ``ssum``: the singular values of the 3x3 matrix in columns hxx..hzz,
+    summed with the smallest one signed by the determinant.
+
+    Eigenvalues of H'H in closed form. Each stage names its results, so that
+    no expression is repeated inside another.
+    """
+    def h(i: str, j: str) -> Column:
+        return F.col(f"h{i}{j}")
+
+    def gram(i: str, j: str) -> Column:
+        return h("x", i) * h("x", j) + h("y", i) * h("y", j) + h("z", i) * h("z", j)
+
+    def det3(rows: list[list[Column]]) -> Column:
+        (a, b, c), (d, e, f), (g, k, m) = rows
+        return a * (e * m - f * k) - b * (d * m - f * g) + c * (d * k - e * g)
+
+    upper = [(i, j) for n, i in enumerate(XYZ) for j in XYZ[n:]]
+    det = det3([[h(i, j) for j in XYZ] for i in XYZ])
+    df = df.select("*", det.alias("_det"), *[gram(i, j).alias(f"_g{i}{j}") for i, j in upper])
+    df = df.withColumn("_q", (F.col("_gxx") + F.col("_gyy") + F.col("_gzz")) / 3)
+    df = df.select("*", *[(F.col(f"_g{c}{c}") - F.col("_q")).alias(f"_d{c}") for c in XYZ])
+    spread2 = F.col("_dx") ** 2 + F.col("_dy") ** 2 + F.col("_dz") ** 2
+    off2 = F.col("_gxy") ** 2 + F.col("_gxz") ** 2 + F.col("_gyz") ** 2
+    shifted = det3([[F.col("_dx"), F.col("_gxy"), F.col("_gxz")],
+                    [F.col("_gxy"), F.col("_dy"), F.col("_gyz")],
+                    [F.col("_gxz"), F.col("_gyz"), F.col("_dz")]])
+    df = df.select("*", F.sqrt((spread2 + 2 * off2) / 6).alias("_p"), shifted.alias("_b"))
+    cosine = F.when(F.col("_p") > 0, F.greatest(F.lit(-1.0), F.least(
+        F.lit(1.0), F.col("_b") / (2 * F.col("_p") ** 3)))).otherwise(1.0)
+    df = df.withColumn("_phi", F.acos(cosine) / 3)
+    df = df.select(
+        "*", (F.col("_q") + 2 * F.col("_p") * F.cos("_phi")).alias("_e1"),
+        (F.col("_q") + 2 * F.col("_p") * F.cos(F.col("_phi") + 2 * math.pi / 3)).alias("_e3"))
+    roots = [F.sqrt(F.greatest(x, F.lit(0.0))) for x in
+             (F.col("_e1"), 3 * F.col("_q") - F.col("_e1") - F.col("_e3"), F.col("_e3"))]
+    return df.withColumn("ssum", roots[0] + roots[1] + F.signum("_det") * roots[2])
 
 
 def ca_rmsd(points: DataFrame, pairs: DataFrame, min_atoms: int = 10) -> DataFrame:
@@ -299,14 +319,13 @@ def ca_rmsd(points: DataFrame, pairs: DataFrame, min_atoms: int = 10) -> DataFra
     sums += [F.sum(F.col(f"{i}a") * F.col(f"{j}b")).alias(f"{i}{j}") for i in XYZ for j in XYZ]
     agg = both.groupBy("structure_a", "structure_b").agg(*sums)
     n = F.col("n")
-    h = [[F.col(f"h{i}{j}") for j in XYZ] for i in XYZ]
     centred = agg.select(
         "structure_a", "structure_b", "n",
         *[(F.col(f"q{s}") - sum((F.col(f"s{c}{s}") ** 2 for c in XYZ[1:]), F.col(f"sx{s}") ** 2) / n).alias(f"e{s}")
           for s in "ab"],
         *[(F.col(f"{i}{j}") - F.col(f"s{i}a") * F.col(f"s{j}b") / n).alias(f"h{i}{j}") for i in XYZ for j in XYZ])
-    rest = F.col("ea") + F.col("eb") - 2 * _singular_sum(h)
-    return centred.select(
+    rest = F.col("ea") + F.col("eb") - 2 * F.col("ssum")
+    return _with_singular_sum(centred).select(
         "structure_a", "structure_b", n.cast("bigint").alias("n_atoms"),
         F.when(n >= min_atoms, F.sqrt(F.greatest(rest / n, F.lit(0.0)))).alias("rmsd"))
 

@@ -7,6 +7,8 @@ then run in generated code over the scan, before any exchange.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +16,19 @@ from proteoframe.functions import constants as K
 
 
 def position_windows(df: DataFrame, before: int, after: int, text: str = "sequence",
-                     keys: tuple[str, ...] = ("pid",), centre: str | None = None,
-                     also: dict[str, Column] | None = None, step: int = 1) -> DataFrame:
+                     keys: tuple[str, ...] = ("pid",), also: dict[str, Column] | None = None,
+                     where: Callable[[Callable[..., Column]], Column] | None = None) -> DataFrame:
     """One row per residue: ``keys, position, seq_len, window``.
 
     ``window`` holds the residues ``position-before .. position+after``; places
-    outside the sequence are ``-``. ``centre`` keeps only positions whose own
-    residue is one of the given letters. ``also`` names further strings of the
-    same length (recoded copies) to cut in parallel. Strings are cut as bytes:
-    a byte slice costs its width, a character slice the distance from the start.
+    outside the sequence are ``-``. ``also`` names further strings of the same
+    length (recoded copies) to cut in parallel. Strings are cut as bytes: a byte
+    slice costs its width, a character slice the distance from the start.
+
+    ``where`` filters positions before any window is built: it gets a function
+    ``at(offset, n, name)`` for the ``n`` letters from ``position + offset`` on.
+    A filter on the window itself would be pushed below the projection and cut
+    the window once for every mention.
     """
     width = before + 1 + after
 
@@ -35,11 +41,13 @@ def position_windows(df: DataFrame, before: int, after: int, text: str = "sequen
     )
     rows = src.select(
         *keys, "seq_len", *texts,
-        F.explode(F.sequence(F.lit(1), F.col("seq_len"), F.lit(step))).alias("position"),
+        F.explode(F.sequence(F.lit(1), F.col("seq_len"))).alias("position"),
     )
-    if centre is not None:
-        own = F.col("window").substr(F.col("position") + before, F.lit(1)).cast("string")
-        rows = rows.filter(own.isin(*centre))
+    if where is not None:
+        def at(offset: int = 0, n: int = 1, name: str = "window") -> Column:
+            return F.col(name).substr(F.col("position") + (before + offset), F.lit(n)).cast("string")
+
+        rows = rows.filter(where(at))
     return rows.select(
         *keys, "position", "seq_len",
         *[F.col(n).substr(F.col("position"), F.lit(width)).cast("string").alias(n) for n in texts],

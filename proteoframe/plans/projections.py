@@ -29,11 +29,13 @@ def letters(text: Column, drop: str = "") -> Column:
 
 def sequences(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
     """Whole texts as residue strings: ``pid, sequence``."""
+    # The filter looks at the raw text: on the result it would be pushed below
+    # the projection and clean every text twice.
     src = spread(table(spark, sf_dir, name).select(key, "text"), key)
-    return src.select(
+    return src.filter(F.col("text").rlike(f"(?i)[{K.ALPHABET}]")).select(
         F.col(key).alias("pid"),
         letters(F.col("text"), drop="BJOUXZ").alias("sequence"),
-    ).filter(F.length("sequence") > 0)
+    )
 
 
 def protected_positions(spark: SparkSession, sf_dir: str) -> DataFrame:

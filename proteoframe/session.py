@@ -36,6 +36,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def hashed(df: DataFrame, *keys: str) -> DataFrame:
+    """Distribute by ``keys`` at full shuffle width.
+
+    It is the exchange a following join or grouping on these keys needs anyway;
+    naming its width keeps adaptive execution from merging partitions that are
+    small in bytes but cost much computation per row.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(width, *keys)
+
+
 def r6(col: Column | str) -> Column:
     """Round a double for output; adding 0.0 turns -0.0 into 0.0."""
     col = F.col(col) if isinstance(col, str) else col
