@@ -233,42 +233,47 @@ def window_flags(seqs: DataFrame, charge_width: int = 10, charge_limit: int = 7,
     )
     marks = F.col("charge").substr(step, charge_width)
     letters = [F.col("window").substr(step + k, 1) for k in range(span)]
-    inside = F.when(is_span(letters), F.sequence(first, last)).otherwise(
-        F.array().cast("array<int>"))
-
-    def flag(category: str, position: Column, n: int, risk: Column) -> Column:
-        return F.struct(
-            F.lit(category).alias("category"), position.alias("position"), F.lit(n).alias("length"),
-            F.col("window").substr(position - F.col("position") + step, F.lit(n)).alias("residues"),
-            risk.alias("risk"))
-
-    here = F.array_compact(F.array(
-        F.when(F.col("stall").substr(step, 1) == "p", flag("proline_stall", F.col("position"), 4, F.lit(0.4))),
-        F.when(is_cluster(marks), flag("charge_cluster", F.col("position"), charge_width,
-                                       0.3 + 0.1 * (charges(marks) - charge_limit))),
-    ))
-    spans = F.transform(inside, lambda at: flag("low_complexity", at, entropy_width, F.lit(0.3)))
+    none = F.array().cast("array<int>")
+
+    def when(test: Column, items: Column) -> Column:
+        return F.when(test, items).otherwise(none)
+
+    # one row per flag: -2 stall, -1 cluster, else the start of a low-complexity window
     rows = w.select(
-        "pid", F.explode(F.concat(here, spans)).alias("f")
-    ).select("pid", "f.category", "f.position", "f.length", "f.residues", "f.risk")
-    # few windows have few letters, so few reach the entropy itself
-    poor = S.distinct_letters([F.col("residues").substr(k + 1, 1) for k in range(entropy_width)]) <= few
-    return rows.filter(
-        F.when(F.col("category") != "low_complexity", True)
-        .when(~poor, False)
-        .otherwise(F.round(S.entropy(F.col("residues"), entropy_width), 9) < entropy_limit))
+        "pid", "position", "window", charges(marks).alias("n"),
+        F.explode(F.concat(
+            when(F.col("stall").substr(step, 1) == "p", F.array(F.lit(-2))),
+            when(is_cluster(marks), F.array(F.lit(-1))),
+            when(is_span(letters), F.sequence(first, last)))).alias("at"))
+    shift = F.when(F.col("at") < 0, F.lit(step)).otherwise(F.col("at") - F.col("position") + step)
+    poor = S.distinct_letters([F.col("window").substr(shift + k, F.lit(1)) for k in range(entropy_width)]) <= few
+    low = F.round(S.entropy(F.col("window").substr(shift, F.lit(entropy_width)), entropy_width), 9) < entropy_limit
+    length = F.when(F.col("at") == -2, 4).when(F.col("at") == -1, charge_width).otherwise(entropy_width)
+    return rows.filter(F.when(F.col("at") < 0, True).when(poor, low).otherwise(False)).select(
+        "pid",
+        F.when(F.col("at") == -2, "proline_stall").when(F.col("at") == -1, "charge_cluster")
+        .otherwise("low_complexity").alias("category"),
+        F.when(F.col("at") < 0, F.col("position")).otherwise(F.col("at")).alias("position"),
+        length.alias("length"), F.col("window").substr(shift, length).alias("residues"),
+        F.when(F.col("at") == -2, 0.4).when(F.col("at") == -1, 0.3 + 0.1 * (F.col("n") - charge_limit))
+        .otherwise(0.3).alias("risk"))
 
 
-def merge_intervals(flags: DataFrame, gap: int = 10) -> DataFrame:
+def merge_intervals(flags: DataFrame, gap: int = 10, only: str | None = None) -> DataFrame:
     """Merge flags of one category that lie within ``gap`` of each other.
 
     The merged row keeps the residues of its first flag and the highest risk.
+    With ``only`` the flags of other categories stay as they are, so that a
+    mixed table needs one pass.
     """
     by = Window.partitionBy("pid", "category").orderBy("position")
     reach = F.max(F.col("position") + F.col("length")).over(
         by.rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = F.when(reach.isNull() | (F.col("position") > reach + gap), 1).otherwise(0)
+    apart = reach.isNull() | (F.col("position") > reach + gap)
+    if only is not None:
+        apart = apart | (F.col("category") != only)
+    starts = F.when(apart, 1).otherwise(0)
     grouped = flags.withColumn("_new", starts).withColumn(
         "_group", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))
     )
@@ -282,10 +287,8 @@ def merge_intervals(flags: DataFrame, gap: int = 10) -> DataFrame:
 
 def complexity_flags(seqs: DataFrame) -> DataFrame:
     """All complexity flags; overlapping low-complexity windows are merged."""
-    windows = window_flags(seqs)
-    single = windows.filter("category <> 'low_complexity'")
-    merged = merge_intervals(windows.filter("category = 'low_complexity'"))
-    return run_flags(seqs).unionByName(single).unionByName(merged).select(*FLAG_COLUMNS)
+    windows = merge_intervals(window_flags(seqs), only="low_complexity")
+    return run_flags(seqs).select(*FLAG_COLUMNS).unionByName(windows)
 
 
 def complexity_totals(seqs: DataFrame, flags: DataFrame) -> DataFrame:

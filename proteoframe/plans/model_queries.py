@@ -176,8 +176,7 @@ FROM li
 """))
 def liability_table(spark, d):
     seqs, prot = P.sequences(spark, d), P.protected_positions(spark, d)
-    hits = scan.motif_hits(seqs)
-    return E.liabilities(scan.cysteine_scan(seqs, protected=prot), hits, scan.motif_variants(hits, prot))
+    return E.liabilities(scan.cysteine_scan(seqs, protected=prot), scan.motif_hits(seqs), prot)
 
 
 @query(with_(SEQS, RES, CYS, MOTIF, FLAGS, PROT, body="""
