@@ -11,6 +11,7 @@ from proteoframe.operators import library as L
 from proteoframe.operators import mutate
 from proteoframe.operators import report as R
 from proteoframe.operators import scoring as C
+from proteoframe.operators import steps
 from proteoframe.operators.ranking import full_rank, top_per_key
 from proteoframe.plans import projections as P
 from proteoframe.plans.catalog import Catalog
@@ -184,6 +185,29 @@ def direct_children(spark, d):
     return mutate.direct_children(P.order_candidates(spark, d)).select("candidate_id", "parent_id")
 
 
+@query(with_(OCANDS, body="""
+SELECT pid, candidate_id, parent_id FROM oc WHERE parent_id IS NULL
+UNION ALL SELECT o_custkey, -o_orderkey, o_orderkey FROM orders WHERE o_orderstatus = 'F'
+"""))
+def roots_with_proposals(spark, d):
+    """Old variants leave, roots and the new proposals stay."""
+    proposed = P.table(spark, d, "orders").filter("o_orderstatus = 'F'").select(
+        F.col("o_custkey").alias("pid"), (-F.col("o_orderkey")).alias("candidate_id"),
+        F.col("o_orderkey").alias("parent_id"))
+    return mutate.with_parents(P.order_candidates(spark, d), proposed)
+
+
+@query(with_(OCANDS, body="""
+SELECT pid, 'disulfide_design' AS source_step, candidate_id || ': no structure' AS message
+FROM oc JOIN orders ON o_orderkey = candidate_id WHERE parent_id IS NULL AND o_orderstatus <> 'F'
+"""))
+def missing_structures(spark, d):
+    status = P.table(spark, d, "orders").select(F.col("o_orderkey").alias("candidate_id"), "o_orderstatus")
+    cands = P.order_candidates(spark, d).join(status, "candidate_id").withColumn(
+        "structure_path", F.when(F.col("o_orderstatus") == "F", "model"))
+    return steps.missing_structures(cands, "disulfide_design")
+
+
 @query(with_(OCANDS, body="""
 , s AS (SELECT oc.*, CASE WHEN parent_id IS NULL OR o_orderstatus = 'F' THEN 'model_' || candidate_id END AS path
         FROM oc JOIN orders ON o_orderkey = candidate_id)

@@ -178,3 +178,19 @@ def test_validation_defaults(spark):
     df = spark.createDataFrame([(None, None), (69.0, 1.0), (80.0, 2.0)], "plddt double, rmsd double")
     got = [tuple(r) for r in structure.validate_designs(df).select("validation_passed", "val_plddt", "val_rmsd").collect()]
     assert got == [(True, 0.0, 99.0), (False, 69.0, 1.0), (True, 80.0, 2.0)]
+
+
+def test_steps(spark):
+    from proteoframe.operators.steps import check_schema, get_step, step
+
+    @step("double_it", 1)
+    def double_it(df):
+        return df.withColumn("x", F.col("x") * 2)
+
+    df = spark.createDataFrame([(1,)], "x long")
+    assert df.transform(get_step("double_it").run).first()["x"] == 2
+    with pytest.raises(KeyError, match="double_it"):
+        get_step("nothing")
+    assert check_schema(df, "x long") is df
+    with pytest.raises(ValueError, match="y"):
+        check_schema(df, "x long, y string")
