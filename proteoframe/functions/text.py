@@ -24,13 +24,13 @@ def charge_marks(seq: Column) -> Column:
     return F.regexp_replace(seq, f"[{K.CHARGED}]", "+")
 
 
-def distinct_letters(letters: list[Column]) -> Column:
-    """How many different upper-case letters are among the given ones.
+def letter_mask(letters: list[Column]) -> Column:
+    """One integer in which each of the given upper-case letters sets its bit.
 
-    Each letter sets its bit in one integer; nothing is split or collected.
+    ``bit_count`` of it is the number of different letters; nothing is split.
     """
     bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ascii(c) - 65) for c in letters]
-    return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), bits))
+    return reduce(lambda x, y: x.bitwiseOR(y), bits)
 
 
 def lookup(key: Column, table: dict, default=None) -> Column:
@@ -112,13 +112,10 @@ def entropy(window: Column, width: int) -> Column:
     A fold over the letters present keeps the generated method small enough
     for the JVM to compile it.
     """
-    def share(a: Column) -> Column:
-        return F.size(F.filter(F.split(window, ""), lambda c: c == a)) / F.lit(float(width))
-
-    return F.aggregate(
-        F.array_distinct(F.split(window, "")), F.lit(0.0),
-        lambda acc, a: acc - share(a) * F.log2(share(a)),
-    )
+    shares = F.transform(
+        F.array_distinct(F.split(window, "")),
+        lambda a: (width - F.length(F.replace(window, a, F.lit("")))) / F.lit(float(width)))
+    return F.aggregate(shares, F.lit(0.0), lambda acc, p: acc - p * F.log2(p))
 
 
 def max_distinct(width: int, limit: float) -> int:

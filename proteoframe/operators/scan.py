@@ -223,7 +223,7 @@ def window_flags(seqs: DataFrame, charge_width: int = 10, charge_limit: int = 7,
 
     def is_span(letters: list[Column]) -> Column:
         return ((F.col("position") % step == 1) & (left >= span) & (last >= first)
-                & (S.distinct_letters(letters) <= few))
+                & (F.bit_count(S.letter_mask(letters)) <= few))
 
     w = position_windows(
         seqs, before, after,
@@ -240,13 +240,16 @@ def window_flags(seqs: DataFrame, charge_width: int = 10, charge_limit: int = 7,
 
     # one row per flag: -2 stall, -1 cluster, else the start of a low-complexity window
     rows = w.select(
-        "pid", "position", "window", charges(marks).alias("n"),
+        "pid", "position", "window", charges(marks).alias("n"), S.letter_mask(letters).alias("mask"),
         F.explode(F.concat(
             when(F.col("stall").substr(step, 1) == "p", F.array(F.lit(-2))),
             when(is_cluster(marks), F.array(F.lit(-1))),
             when(is_span(letters), F.sequence(first, last)))).alias("at"))
     shift = F.when(F.col("at") < 0, F.lit(step)).otherwise(F.col("at") - F.col("position") + step)
-    poor = S.distinct_letters([F.col("window").substr(shift + k, F.lit(1)) for k in range(entropy_width)]) <= few
+    # the letters of a window outside its span: some before it, the rest behind it
+    ahead = F.col("position") - F.col("at")
+    rest = [F.col("window").substr(shift + k + F.when(ahead <= k, span).otherwise(0), F.lit(1)) for k in range(step)]
+    poor = F.bit_count(F.col("mask").bitwiseOR(S.letter_mask(rest))) <= few
     low = F.round(S.entropy(F.col("window").substr(shift, F.lit(entropy_width)), entropy_width), 9) < entropy_limit
     length = F.when(F.col("at") == -2, 4).when(F.col("at") == -1, charge_width).otherwise(entropy_width)
     return rows.filter(F.when(F.col("at") < 0, True).when(poor, low).otherwise(False)).select(

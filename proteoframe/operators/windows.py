@@ -36,12 +36,14 @@ def position_windows(df: DataFrame, before: int, after: int, text: str = "sequen
         return F.concat(F.lit(K.GAP * before), c, F.lit(K.GAP * after)).cast("binary")
 
     texts = {"window": F.col(text), **(also or {})}
-    src = df.filter(F.length(text) > 0).select(
+    # An empty string gives no rows through a null array: a filter would be
+    # pushed below whatever made the string and make it twice.
+    src = df.select(
         *keys, F.length(text).alias("seq_len"), *[pad(c).alias(n) for n, c in texts.items()]
     )
     rows = src.select(
         *keys, "seq_len", *texts,
-        F.explode(F.sequence(F.lit(1), F.col("seq_len"))).alias("position"),
+        F.explode(F.when(F.col("seq_len") > 0, F.sequence(F.lit(1), F.col("seq_len")))).alias("position"),
     )
     if where is not None:
         def at(offset: int = 0, n: int = 1, name: str = "window") -> Column:
@@ -81,17 +83,17 @@ def runs(df: DataFrame, min_len: int, letters: str | None = None, text: str = "s
         def boundary(ch: Column, i: Column, step: int) -> Column:
             return F.get(ch, i).isin(*letters) & ~F.get(ch, i + step).isin(*letters)
 
-    chars = df.filter(seq.rlike(probe)).select(
+    padded = F.concat(F.lit(" "), seq, F.lit(" "))
+    chars = df.select(
         *keys, seq.alias("_s"), F.length(seq).alias("_n"),
-        F.split(F.concat(F.lit(" "), seq, F.lit(" ")), "").alias("_ch"),
-    )
-    ends = chars.select(
-        *keys, "_s",
-        F.filter(F.sequence(F.lit(1), F.col("_n")),
-                 lambda i: boundary(F.col("_ch"), i, -1)).alias("first"),
-        F.filter(F.sequence(F.lit(1), F.col("_n")),
-                 lambda i: boundary(F.col("_ch"), i, 1)).alias("last"),
+        F.when(seq.rlike(probe), F.split(padded, "")).alias("_ch"),
     )
+
+    def places(step: int) -> Column:
+        return F.when(F.col("_ch").isNotNull(), F.filter(
+            F.sequence(F.lit(1), F.col("_n")), lambda i: boundary(F.col("_ch"), i, step)))
+
+    ends = chars.select(*keys, "_s", places(-1).alias("first"), places(1).alias("last"))
     pairs = ends.select(
         *keys, "_s",
         F.explode(F.filter(F.arrays_zip("first", "last"),
