@@ -6,7 +6,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from proteoframe.operators import library, scan, structure
 from proteoframe.operators.ranking import full_rank
