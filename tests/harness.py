@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -30,7 +31,7 @@ def spark_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet{"/*" if os.path.isdir(f"{sf_dir}/{t}.parquet") else ""}'")
     return con
 
 
