@@ -62,9 +62,12 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def cosine(query: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Cosines in double precision; the same for equal vectors wherever they stand."""
-    dots = (candidates * query).sum(axis=1)
-    return dots / (np.sqrt((candidates * candidates).sum(axis=1)) * np.sqrt((query * query).sum()))
+    """Cosines in double precision, summed in order: the same for equal vectors wherever they stand."""
+    def total(x: np.ndarray) -> np.ndarray:
+        return np.add.accumulate(x, axis=1)[:, -1]
+
+    norms = total(candidates * candidates) * total((query * query)[None, :])
+    return np.clip(total(candidates * query) / np.sqrt(norms), -1.0, 1.0)
 
 
 def block_search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int) -> list[tuple]:
