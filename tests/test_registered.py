@@ -9,6 +9,7 @@ import pytest
 from harness import connect, difference
 
 import __spark_entry__ as entry
+from proteoframe.plans import registry
 
 SF = "/root/testdata/sf0.001"
 SOME = (
@@ -19,7 +20,7 @@ SOME = (
     "cavity_variants", "surface_variants", "superposition_rmsd", "saturation_scan", "wildtype_marginal",
     "liability_table", "diversified", "fasta_round_trip", "json_results_dir", "cif_round_trip",
 )
-NAMES = sorted(entry.queries()) if os.environ.get("PROTEOFRAME_ALL") else SOME
+NAMES = sorted(registry.queries()) if os.environ.get("PROTEOFRAME_ALL") else SOME
 
 
 @pytest.fixture(scope="module")
@@ -39,4 +40,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
