@@ -27,6 +27,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("proteoframe-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("proteoframe.scan.partitions", cpus)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -94,9 +94,36 @@ def differences(a: Column, b: Column) -> Column:
 def hamming(a: Column, b: Column) -> Column:
     """Differing positions over the common length.
 
-    ``levenshtein`` is no substitute (it shifts), so compare letter by letter.
+    ``levenshtein`` is no substitute (it shifts), so letters are compared one by
+    one; a null beyond the shorter sequence counts as equal.
     """
-    return F.size(differences(a, b))
+    unequal = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.coalesce(x != y, F.lit(False)).cast("int"))
+    n = F.least(F.length(a), F.length(b))
+    return F.aggregate(F.slice(unequal, F.lit(1), F.greatest(n, F.lit(0))), F.lit(0), lambda s, u: s + u)
+
+
+def last_of_each(entries: Column, key: str) -> Column:
+    """Of a sorted array of structs the last entry of every ``key``."""
+    return F.filter(entries, lambda e, i: ~F.coalesce(F.get(entries, i + 1)[key] == e[key], F.lit(False)))
+
+
+def with_kept(seq: Column, kept: Column, at, between) -> Column:
+    """The sequence with ``at`` applied to the residues at ``kept`` positions and ``between`` to the rest.
+
+    ``kept`` is an array of positions, in any order and also out of range. The
+    sequence is cut once at each of them, in time linear in both lengths.
+    """
+    raw = seq.cast("binary")
+    inside = F.array_sort(F.array_distinct(F.filter(
+        F.transform(kept, lambda p: p.cast("int")), lambda p: (p >= 1) & (p <= F.length(seq)))))
+    cuts = F.concat(F.array(F.lit(0)), inside)
+
+    def piece(p: Column, i: Column) -> Column:
+        following = F.coalesce(F.get(cuts, i + 1), F.length(seq) + 1)
+        own = F.when(p > 0, at(raw.substr(p, F.lit(1)).cast("string"))).otherwise("")
+        return F.concat(own, between(raw.substr(p + 1, following - p - 1).cast("string")))
+
+    return F.array_join(F.transform(cuts, piece), "")
 
 
 def context(seq_window: Column, before: int, after: int) -> Column:

@@ -143,11 +143,11 @@ def a3m_residues(text: Column) -> Column:
     return F.regexp_replace(text, "[^A-Z]+", "")
 
 
-def dedupe_homologs(hits: DataFrame, max_hits: int = 500) -> DataFrame:
+def dedupe_homologs(hits: DataFrame, max_hits: int | None = None) -> DataFrame:
     """First hit per distinct sequence, the leading query dropped, in hit order.
 
-    Only digests travel to find the first hit of a sequence; the cap is the
-    operator's own parameter.
+    Only digests travel to find the first hit of a sequence; ``max_hits`` keeps
+    the first of them if given.
     """
     lead = hits.groupBy("pid").agg(F.min("idx").alias("_lead"))
     body = hits.join(lead, "pid").filter(
@@ -156,17 +156,18 @@ def dedupe_homologs(hits: DataFrame, max_hits: int = 500) -> DataFrame:
     ).drop("_lead")
     first = body.groupBy("pid", F.md5("sequence").alias("_d")).agg(F.min("idx").alias("idx"))
     by = Window.partitionBy("pid").orderBy("idx")
-    kept = first.select("pid", "idx").withColumn("rank", F.row_number().over(by)).filter(
-        F.col("rank") <= max_hits
-    )
+    kept = first.select("pid", "idx").withColumn("rank", F.row_number().over(by))
+    if max_hits is not None:
+        kept = kept.filter(F.col("rank") <= max_hits)
     return body.join(kept, ["pid", "idx"]).select("pid", "rank", "idx", "name", "sequence")
 
 
-def homolog_stats(kept: DataFrame, sample: int = 50) -> DataFrame:
-    """Number of homologs and mean length of the first ``sample`` of them."""
+def homolog_stats(kept: DataFrame, sample: int | None = None) -> DataFrame:
+    """Number of homologs and mean length of all, or of the first ``sample`` of them."""
+    length = F.length("sequence")
     return kept.groupBy("pid").agg(
         F.count("*").alias("num_homologs"),
-        F.avg(F.when(F.col("rank") <= sample, F.length("sequence"))).alias("mean_length"),
+        F.avg(length if sample is None else F.when(F.col("rank") <= sample, length)).alias("mean_length"),
     )
 
 
@@ -184,14 +185,23 @@ def attach_homologs(cands: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def kmer_homologs(queries: DataFrame, database: DataFrame, k: int = 8, min_shared: int = 4,
-                  min_identity: float = 0.5, max_hits: int = 500) -> DataFrame:
+                  min_identity: float = 0.5, max_hits: int | None = None) -> DataFrame:
     """Homologs by shared k-mers and ungapped identity on the best diagonal.
 
-    Repeated k-mers inside one sequence are kept, so no candidate is lost. The
-    join output is counted per (query, target, diagonal) on the map side; which
+    Every distinct sequence is searched once and the result mapped back to its
+    copies. Repeated k-mers inside one sequence are kept, so no candidate is lost.
+    The join output is counted per (query, target, diagonal) on the map side; which
     side is broadcast, or how a frequent k-mer is split, is left to adaptive
     execution, which knows the real sizes.
     """
+    def distinct(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Distinct sequences under their digest, and the ids behind each."""
+        keyed = df.select("pid", F.md5("sequence").alias("_d"), "sequence")
+        return (keyed.groupBy(F.col("_d").alias("pid")).agg(F.first("sequence").alias("sequence")),
+                keyed.select("_d", "pid"))
+
+    (queries, query_ids), (database, target_ids) = distinct(queries), distinct(database)
+
     def kmers(df: DataFrame, name: str) -> DataFrame:
         return position_windows(df, 0, k - 1).filter(
             F.col("position") + (k - 1) <= F.col("seq_len")
@@ -221,7 +231,9 @@ def kmer_homologs(queries: DataFrame, database: DataFrame, k: int = 8, min_share
     same = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda e: e))
     rows = rows.select("query", "target", "shared", "diagonal", "overlap",
                        (same / F.col("overlap")).alias("identity"))
+    found = rows.filter(F.col("identity") >= min_identity)
+    for side, ids in (("query", query_ids), ("target", target_ids)):
+        found = found.withColumnRenamed(side, "_d").join(ids, "_d").drop("_d").withColumnRenamed("pid", side)
     by = Window.partitionBy("query").orderBy(F.desc("identity"), F.desc("shared"), "target")
-    return rows.filter(F.col("identity") >= min_identity).withColumn(
-        "rank", F.row_number().over(by)
-    ).filter(F.col("rank") <= max_hits)
+    ranked = found.select("query", "target", "shared", "diagonal", "overlap", "identity", F.row_number().over(by).alias("rank"))
+    return ranked if max_hits is None else ranked.filter(F.col("rank") <= max_hits)

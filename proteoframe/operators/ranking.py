@@ -9,7 +9,7 @@ from proteoframe.session import use_checkpoint_dir
 
 
 def full_rank(df: DataFrame, keys: list[str], value: str, tie: str, descending: bool = True,
-              pieces: int = 32) -> DataFrame:
+              piece_rows: int = 100_000) -> DataFrame:
     """Add ``rank``: 1, 2, ... per key by ``value`` (nulls last), then by ``tie``.
 
     One window over a key would sort the whole key in one task, and a single
@@ -17,11 +17,13 @@ def full_rank(df: DataFrame, keys: list[str], value: str, tie: str, descending:
     quantiles: rows between two cuts and rows equal to a cut are groups of
     their own, the latter cut again by the tie column, and a row's rank is the
     size of all better groups plus its place inside its own. The cuts are two
-    small quantile arrays; they only steer the balance, never the result. The
-    input is read three times, so it is checkpointed once.
+    quantile arrays, one cut for every ``piece_rows`` rows; they only steer the
+    balance, never the result. The input is read three times, so it is
+    checkpointed once.
     """
     use_checkpoint_dir(df.sparkSession)
     df = df.checkpoint()
+    pieces = max(2, -(-df.count() // piece_rows))
     probs = [i / pieces for i in range(1, pieces)]
 
     def quantiles(name: str):

@@ -76,18 +76,9 @@ def remove_all_cysteines(seqs: DataFrame, replacement: str = "S",
     else:
         keep = protected.groupBy("pid").agg(F.collect_set("position").alias("_keep"))
         parts = parts.join(keep, "pid", "left")
-        changed = F.when(
-            F.col("_keep").isNull(), F.translate("sequence", "C", replacement)
-        ).otherwise(
-            F.array_join(
-                F.transform(
-                    F.split("sequence", ""),
-                    lambda c, i: F.when(
-                        (c == "C") & ~F.array_contains(F.col("_keep"), (i + 1).cast("bigint")),
-                        F.lit(replacement),
-                    ).otherwise(c),
-                ), "")
-        )
+        changed = S.with_kept(
+            F.col("sequence"), F.coalesce("_keep", F.array().cast("array<bigint>")),
+            at=lambda c: c, between=lambda s: F.translate(s, "C", replacement))
     return parts.select("pid", "n_mutations", "score", changed.alias("sequence"))
 
 
@@ -321,12 +312,14 @@ def flagged_positions(hits: DataFrame, flags: DataFrame, muts: DataFrame, seqs:
 
 
 def surface_proxy_positions(seqs: DataFrame, protected: DataFrame | None = None,
-                            top: int = 50) -> DataFrame:
-    """First ``top`` positions with two or more charged residues within +-2."""
+                            top: int | None = None) -> DataFrame:
+    """Positions with two or more charged residues within +-2; the first ``top`` of them if given."""
     w = position_windows(
         seqs, 2, 2, also={"charge": S.charge_marks(F.col("sequence"))}
     ).filter(S.count_of(F.col("charge"), "+") >= 2)
     open_ = exclude_protected(w.select("pid", "position"), protected)
+    if top is None:
+        return open_
     by = Window.partitionBy("pid").orderBy("position")
     return open_.withColumn("_r", F.row_number().over(by)).filter(F.col("_r") <= top).drop("_r")
 
@@ -407,9 +400,7 @@ def sequence_patches(seqs: DataFrame, protected: DataFrame | None = None,
         src = src.join(keep, "pid", "left").select(
             "pid",
             F.when(F.col("_keep").isNull(), F.col("sequence")).otherwise(
-                F.aggregate("_keep", F.col("sequence"), lambda s, p: F.when(
-                    (p >= 1) & (p <= F.length(s)),
-                    F.overlay(s, F.lit("-"), p.cast("int"), F.lit(1))).otherwise(s))
+                S.with_kept(F.col("sequence"), F.col("_keep"), at=lambda c: F.lit("-"), between=lambda s: s)
             ).alias("sequence"),
         )
     r = runs(src, min_size, K.HYDROPHOBIC)

@@ -19,16 +19,17 @@ def score_stats(scores: DataFrame) -> DataFrame:
 
 
 def composite_score(cands: DataFrame, scores: DataFrame, weights: dict[str, float] | None = None,
-                    normalize: bool = True) -> DataFrame:
+                    normalize: bool = True, missing: float | None = 0.0) -> DataFrame:
     """Weighted mean of the z-scores a candidate has.
 
     A key with one value keeps its raw value, a constant key counts as zero,
-    lower-is-better keys change sign, a candidate without any key gets 0.0.
-    Statistics hold one row per weighted key, so their broadcast is bounded by
-    the number of weights.
+    lower-is-better keys change sign, a candidate without any key gets
+    ``missing``. Statistics are those of the given candidates; they hold one row
+    per weighted key, so their broadcast is bounded by the number of weights.
     """
     w = {**K.DEFAULT_WEIGHTS, **(weights or {})}
-    used = scores.filter(F.col("score_key").isin(*w))
+    used = scores.filter(F.col("score_key").isin(*w)).join(
+        cands.select("candidate_id").distinct(), "candidate_id", "left_semi")
     z = F.col("value")
     if normalize:
         used = used.join(F.broadcast(score_stats(used)), "score_key", "left")
@@ -42,15 +43,36 @@ def composite_score(cands: DataFrame, scores: DataFrame, weights: dict[str, floa
     per = used.groupBy("candidate_id").agg(
         F.sum(weight * signed).alias("num"), F.sum(weight).alias("den")
     )
-    value = F.when(F.col("den") > 0, F.col("num") / F.col("den")).otherwise(0.0)
+    value = F.when(F.col("den") > 0, F.col("num") / F.col("den")).otherwise(F.lit(missing).cast("double"))
     return cands.join(per, "candidate_id", "left").withColumn("composite_score", value).drop("num", "den")
 
 
 def score_map(scores: DataFrame) -> DataFrame:
-    """Scores of a candidate folded into one map."""
-    return scores.groupBy("candidate_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("score_key", "value"))).alias("scores")
-    )
+    """Scores of a candidate folded into one map; of several values of a key the largest counts."""
+    entries = F.sort_array(F.collect_list(F.struct("score_key", "value")))
+    return scores.filter("score_key is not null").groupBy("candidate_id").agg(entries.alias("_e")).select(
+        "candidate_id", F.map_from_entries(S.last_of_each(F.col("_e"), "score_key")).alias("scores"))
+
+
+def composite_in_row(cands: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """``composite_score`` of candidates that carry their scores as a map.
+
+    The statistics of all maps come as one small map, at most one entry per
+    weight; nothing is joined by candidate.
+    """
+    w = {**K.DEFAULT_WEIGHTS, **(weights or {})}
+    long = cands.select(F.explode("scores").alias("score_key", "value")).filter(F.col("score_key").isin(*w))
+    entry = F.struct("score_key", F.struct("mean", "std").alias("s"))
+    stats = score_stats(long).agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+    num = den = F.lit(0.0)
+    for key, weight in w.items():
+        value = F.try_element_at("scores", F.lit(key))
+        s = F.try_element_at("_stats", F.lit(key))
+        z = F.when(s.isNull(), value).when(s["std"] > 1e-8, (value - s["mean"]) / s["std"]).otherwise(0.0)
+        num = num + F.when(value.isNotNull(), weight * (-z if key in K.LOWER_IS_BETTER else z)).otherwise(0.0)
+        den = den + F.when(value.isNotNull(), weight).otherwise(0.0)
+    return cands.withColumn("_stats", stats).withColumn(
+        "composite_score", F.when(den > 0, num / den).otherwise(0.0)).drop("_stats")
 
 
 def filter_reasons(scores: Column, muts: Column, structure: Column | None = None, *,
@@ -130,11 +152,15 @@ def score_correlation(scores: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def score_histogram(scores: DataFrame, key: str, bins: int = 30) -> DataFrame:
-    """Counts of equal-width bins between the smallest and the largest value."""
+    """Counts of equal-width bins between the smallest and the largest value.
+
+    A constant score has bins of no width; all its values lie in the first.
+    """
     vals = scores.filter(F.col("score_key") == key).select("value")
     limits = vals.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
-    bin_no = F.least(F.floor((F.col("value") - F.col("lo")) / width).cast("int"), F.lit(bins - 1))
+    place = F.floor((F.col("value") - F.col("lo")) / F.nullif(width, F.lit(0.0))).cast("int")
+    bin_no = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1))
     counted = (
         vals.withColumn("_l", limits.select(F.struct("lo", "hi")).scalar())
         .select("value", "_l.lo", "_l.hi")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from proteoframe.functions import constants as K
 from proteoframe.functions import text as S
 from proteoframe.operators.ranking import top_per_key
-from proteoframe.session import hashed, use_checkpoint_dir
+from proteoframe.session import use_checkpoint_dir
 
 XYZ = ("x", "y", "z")
 
@@ -21,7 +21,8 @@ def grid_pairs(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     Space is cut into cubes of the radius; a row of ``a`` is repeated for its 27
     neighbouring cubes, which makes the distance join an equi-join on
     (structure, cube). The cube is part of the key, so a structure that holds
-    most of the rows spreads over many tasks. Columns get suffixes _a and _b.
+    most of the rows spreads over many tasks; no width is forced on the exchange,
+    so adaptive execution may split a crowded cube. Columns get suffixes _a and _b.
     """
     def cube(axis: str) -> Column:
         return F.floor(F.col(axis) / radius)
@@ -31,7 +32,6 @@ def grid_pairs(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
                     *[cube(c).alias(f"_{c}") for c in XYZ])
     for c in XYZ:
         left = left.withColumn("_s", F.explode(shifts)).withColumn(f"_{c}", F.col(f"_{c}") + F.col("_s")).drop("_s")
-    left = hashed(left, "structure_id", "_x", "_y", "_z")
     right = b.select(*[F.col(c).alias(c if c == "structure_id" else f"{c}_b") for c in b.columns],
                      *[cube(c).alias(f"_{c}") for c in XYZ])
     joined = left.join(right, ["structure_id", "_x", "_y", "_z"]).drop("_x", "_y", "_z")
@@ -144,6 +144,8 @@ def atom_sasa(atoms: DataFrame, n_points: int = 100, probe: float = 1.4) -> Data
     OR over its neighbours: a partial aggregate instead of a points x atoms
     join. ``n_points`` is at most 120 (two words of sixty bits).
     """
+    if not 1 <= n_points <= 120:
+        raise ValueError("n_points must lie between 1 and 120")
     radius = S.lookup(F.col("element"), K.ATOM_RADII, K.DEFAULT_RADIUS) + F.lit(probe)
     own = atoms.filter("element <> 'H'").select(
         "structure_id", "position", "aa", "het", "atom", radius.alias("r"), *XYZ)
@@ -210,7 +212,7 @@ def patch_edges(surface: DataFrame, points: DataFrame, distance: float = 8.0, ga
     return spatial.unionByName(chain)
 
 
-def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components: each vertex gets the smallest position it reaches.
 
     A round takes the smallest label around each vertex and then the label of
@@ -221,7 +223,7 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> D
     both = edges.select("structure_id", "u", "v").unionByName(
         edges.select("structure_id", F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
     labels = vertices.select("structure_id", "position", F.col("position").alias("label")).checkpoint()
-    for _ in range(max_rounds):
+    while True:
         around = (
             both.join(labels.select("structure_id", F.col("position").alias("v"), F.col("label").alias("l")),
                       ["structure_id", "v"])
@@ -234,7 +236,6 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 60) -> D
         labels = moved.select("structure_id", "position", "label")
         if moved.filter("label <> old").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def patches(surface: DataFrame, points: DataFrame, distance: float = 8.0, min_size: int = 3) -> DataFrame:

@@ -63,9 +63,14 @@ def _gains(spark, d):
     return MS.marginal_gains(lps.filter("model = 1"), res)
 
 
-@query(with_(BSEQ, RES, LOGPROBS, GAINS, body=f"SELECT pid, position, wt, mut, {r6('gain')} AS gain FROM gn"))
+@query(with_(BSEQ, RES, LOGPROBS, GAINS, body=f"""
+SELECT pid, position, wt, count(*) AS n, {r6('sum(gain)')} AS gain_sum, string_agg(mut, '' ORDER BY mut) AS gaining FROM gn GROUP BY ALL
+"""))
 def marginal_gains(spark, d):
-    return _gains(spark, d)
+    """All gains, told per position: how many, their sum, and which letters gain."""
+    return _gains(spark, d).groupBy("pid", "position", "wt").agg(
+        F.count("*").alias("n"), F.sum("gain").alias("gain_sum"),
+        F.array_join(F.sort_array(F.collect_list("mut")), "").alias("gaining"))
 
 
 @query(with_(BSEQ, RES, LOGPROBS, GAINS, body=f"""
@@ -169,14 +174,26 @@ li AS (
   SELECT h.pid, h.position, substr(residues, 1, 1), upper(substr(category, 1, 1)) || substr(category, 2), risk,
          coalesce(a.label, b.label)
   FROM hits h LEFT JOIN fx a ON a.pid = h.pid AND a.position = h.position
-  LEFT JOIN fx b ON b.pid = h.pid AND b.position = h.position + 1)
-SELECT pid, position, category, {r6('risk')} AS risk, residue, fix,
-       CASE WHEN risk >= 0.65 THEN 'bad' WHEN risk >= 0.4 THEN 'warn' ELSE 'good' END AS band
-FROM li
+  LEFT JOIN fx b ON b.pid = h.pid AND b.position = h.position + 1),
+rl AS (
+  SELECT *, CASE WHEN risk >= 0.65 THEN 'bad' WHEN risk >= 0.4 THEN 'warn' ELSE 'good' END AS band,
+         row_number() OVER (PARTITION BY pid ORDER BY round(risk, 9) DESC, position, category, residue) AS rank
+  FROM li)
+SELECT pid, category, band, count(*) AS n, {r6('sum(risk)')} AS risk_sum, count(fix) AS n_fixes,
+       sum(position * rank)::BIGINT AS place_sum,
+       md5(string_agg(residue || position || coalesce('>' || fix, ''), ',' ORDER BY rank)) AS rows_digest
+FROM rl GROUP BY ALL
 """))
 def liability_table(spark, d):
+    """The whole table, told per protein, category and band: counts, sums, and a digest of its rows."""
     seqs, prot = P.sequences(spark, d), P.protected_positions(spark, d)
-    return E.liabilities(scan.cysteine_scan(seqs, protected=prot), scan.motif_hits(seqs), prot)
+    rows = E.liabilities(scan.cysteine_scan(seqs, protected=prot), scan.motif_hits(seqs), prot)
+    line = F.concat(F.col("residue"), F.col("position").cast("string"), F.coalesce(F.concat(F.lit(">"), "fix"), F.lit("")))
+    return rows.groupBy("pid", "category", "band").agg(
+        F.count("*").alias("n"), F.sum("risk").alias("risk_sum"), F.count("fix").alias("n_fixes"),
+        F.sum(F.col("position") * F.col("rank")).alias("place_sum"),
+        F.md5(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))),
+                                       lambda r: r["line"]), ",")).alias("rows_digest"))
 
 
 @query(with_(SEQS, RES, CYS, MOTIF, FLAGS, PROT, body="""

@@ -117,7 +117,7 @@ def homologs_deduplicated(spark, d):
 
 
 @query(with_(HOMOLOGS, body=f"""
-SELECT pid, count(*) AS num_homologs, {r6('avg(length(sequence)) FILTER (rank <= 50)')} AS mean_length
+SELECT pid, count(*) AS num_homologs, {r6('avg(length(sequence))')} AS mean_length
 FROM kept GROUP BY pid
 """))
 def homolog_stats(spark, d):
@@ -125,7 +125,7 @@ def homolog_stats(spark, d):
 
 
 @query(with_(HOMOLOGS, body=f"""
-, st AS (SELECT pid, count(*) AS num_homologs, avg(length(sequence)) FILTER (rank <= 50) AS mean_length
+, st AS (SELECT pid, count(*) AS num_homologs, avg(length(sequence)) AS mean_length
          FROM kept GROUP BY pid)
 SELECT d.doc_id AS candidate_id, d.source AS pid, num_homologs, {r6('mean_length')} AS mean_length
 FROM documents d LEFT JOIN st ON st.pid = d.source
@@ -168,7 +168,7 @@ ident AS (
   FROM ov)
 SELECT q AS query, t AS target, shared, diagonal, overlap, {r6('identity')} AS identity,
        row_number() OVER (PARTITION BY q ORDER BY identity DESC, shared DESC, t) AS rank
-FROM ident WHERE identity >= 0.3 QUALIFY rank <= 500
+FROM ident WHERE identity >= 0.3
 """))
 def kmer_homologs(spark, d):
     queries = P.sequences(spark, d, "benchmark", "item_id")

@@ -88,7 +88,7 @@ def design_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = turns.select("conv_id", (F.col("turn") + 1).alias("turn"),
                           F.col("sequence").alias("parent_sequence"))
     return turns.join(before, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pid"), "parent_sequence", "sequence"
+        F.concat_ws(":", "conv_id", "turn").alias("pid"), "parent_sequence", "sequence"
     )
 
 

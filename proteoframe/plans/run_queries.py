@@ -46,7 +46,7 @@ def variants(spark, d):
         F.array(F.struct("position", "wt", "mut", "source_step")).alias("mutations"),
         scores.alias("scores"),
     )
-    return C.composite_score(frame, P.run_scores(spark, d))
+    return C.composite_in_row(frame)
 
 
 def singles(spark, d):
@@ -97,9 +97,7 @@ FROM oc LEFT JOIN comp USING (candidate_id)
 def ranked_candidates(spark, d):
     """Three huge groups: the ranking must not put a group into one task."""
     cands = P.order_candidates(spark, d)
-    scored = C.composite_score(cands.select("candidate_id"), P.order_scores(spark, d))
-    has = P.order_scores(spark, d).filter(F.col("score_key").isin(*K.DEFAULT_WEIGHTS)).select("candidate_id").distinct()
-    rows = cands.select("pid", "candidate_id").join(scored.join(has, "candidate_id", "left_semi"), "candidate_id", "left")
+    rows = C.composite_score(cands.select("pid", "candidate_id"), P.order_scores(spark, d), missing=None)
     ranked = full_rank(rows.withColumn("third", F.col("pid") % 3), ["third"], "composite_score", "candidate_id")
     return ranked.select("pid", "candidate_id", "composite_score", "rank")
 
@@ -296,10 +294,10 @@ def best_score_preferred(spark, d):
 TOPSINGLE = """
 lb AS (
   SELECT pid, position, wt, mut, best, seq_no FROM (
-    SELECT *, row_number() OVER (PARTITION BY pid, position, wt, mut ORDER BY best DESC, seq_no) AS rn FROM (
+    SELECT pid, position, wt, mut, max(best) AS best, min(seq_no) AS seq_no FROM (
       SELECT *, CASE WHEN step_no IN (6, 7) THEN -score ELSE score END AS best,
              step_no * 1000000 + position * 100 + ascii(mut) AS seq_no
-      FROM rv WHERE source_step <> 'motif_scan')) WHERE rn = 1 AND best >= 0),
+      FROM rv WHERE source_step <> 'motif_scan') GROUP BY ALL) WHERE best >= 0),
 ts AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY best DESC, seq_no) AS rank FROM lb QUALIFY rank <= 15)"""
 
 

@@ -55,7 +55,7 @@ turns AS (
          translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BJOUZ', '') AS sequence
   FROM conversations) WHERE length(sequence) > 0),
 pairs AS (
-  SELECT t.conv_id * 1000 + t.turn AS pid, b.sequence AS parent_sequence, t.sequence
+  SELECT t.conv_id || ':' || t.turn AS pid, b.sequence AS parent_sequence, t.sequence
   FROM turns t JOIN turns b ON b.conv_id = t.conv_id AND b.turn + 1 = t.turn)"""
 
 LINES = """

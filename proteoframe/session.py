@@ -1,4 +1,4 @@
-"""Session helpers: checkpoint folder, small-input spreading, output tidying."""
+"""Session helpers: checkpoint folder, spreading of scans on request, output tidying."""
 
 from __future__ import annotations
 
@@ -26,25 +26,14 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-distribute a scan that has fewer files than the cluster has cores.
+    """Deal a scan over as many partitions as the session asks for.
 
-    A scan of many files is returned as it is: no shuffle at scale.
+    Only a session that sets ``proteoframe.scan.partitions`` gets an exchange: a
+    small test file is one row group and would be one task. Without the setting
+    the scan stays as the files are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
-def hashed(df: DataFrame, *keys: str) -> DataFrame:
-    """Distribute by ``keys`` at full shuffle width.
-
-    It is the exchange a following join or grouping on these keys needs anyway;
-    naming its width keeps adaptive execution from merging partitions that are
-    small in bytes but cost much computation per row.
-    """
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(width, *keys)
+    n = df.sparkSession.conf.get("proteoframe.scan.partitions", None)
+    return df if n is None else df.repartition(int(n), *keys)
 
 
 def r6(col: Column | str) -> Column:

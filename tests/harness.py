@@ -19,6 +19,7 @@ def spark_session(cores: int = 8, partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("proteoframe.scan.partitions", str(partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
