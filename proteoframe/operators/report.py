@@ -76,12 +76,23 @@ def position_frequency(variants: DataFrame, n: int = 30) -> DataFrame:
 
 
 def popular_score_keys(variants: DataFrame, top: int = 200, n_keys: int = 6,
-                       skip: tuple[str, ...] = K.LIBRARY_SKIP_KEYS) -> DataFrame:
-    """Most frequent score keys among the best ``top`` variants of each protein."""
-    best = top_per_key(variants, ["pid"], [F.desc_nulls_last("composite_score"), "seq_no"], top)
-    keys = best.select("pid", F.explode(F.map_keys("scores")).alias("score_key"))
-    per = keys.filter(~F.col("score_key").isin(*skip)).groupBy("pid", "score_key").agg(F.count("*").alias("n"))
-    return top_per_key(per, ["pid"], [F.desc("n"), "score_key"], n_keys)
+                       skip: tuple[str, ...] = K.LIBRARY_SKIP_KEYS, by: tuple[str, ...] = ("pid",)) -> DataFrame:
+    """Most frequent score keys among the best ``top`` variants of each protein (or other group)."""
+    best = top_per_key(variants, [*by], [F.desc_nulls_last("composite_score"), "seq_no"], top)
+    keys = best.select(*by, F.explode(F.map_keys("scores")).alias("score_key"))
+    per = keys.filter(~F.col("score_key").isin(*skip)).groupBy(*by, "score_key").agg(F.count("*").alias("n"))
+    return top_per_key(per, [*by], [F.desc("n"), "score_key"], n_keys)
+
+
+def with_shown_scores(variants: DataFrame, popular: DataFrame, by: tuple[str, ...] = ("pid",)) -> DataFrame:
+    """Adds ``shown``: the popular keys of the variant's group in order, each with the variant's value or null.
+
+    ``popular`` has a handful of rows per group.
+    """
+    keys = popular.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("rank", "score_key"))).alias("_keys"))
+    shown = F.transform(F.coalesce("_keys", F.expr("cast(array() as array<struct<rank:int,score_key:string>>)")), lambda k: F.struct(
+        k["score_key"].alias("score_key"), F.try_element_at("scores", k["score_key"]).alias("value")))
+    return variants.join(keys, [*by], "left").withColumn("shown", shown).drop("_keys")
 
 
 def fitness_summary(variants: DataFrame, key: str = "e1_fitness") -> DataFrame:
@@ -132,9 +143,12 @@ def top_positions(variants: DataFrame, n: int = 5) -> DataFrame:
 
 
 def step_variants(variants: DataFrame, n: int = 100) -> DataFrame:
-    """Best variants of every step."""
+    """Best variants of every step with their values under the step's five popular keys."""
+    by = ("pid", "source_step")
     rows = variants.withColumn("sort_score", sort_score(F.col("composite_score"), F.col("scores")))
-    return top_per_key(rows, ["pid", "source_step"], [F.desc("sort_score"), "seq_no"], n)
+    best = top_per_key(rows, [*by], [F.desc("sort_score"), "seq_no"], n)
+    ordered = rows.withColumn("composite_score", F.col("sort_score"))
+    return with_shown_scores(best, popular_score_keys(ordered, 50, 5, K.STEP_SKIP_KEYS, by), by)
 
 
 def _tier(step: Column) -> Column:
@@ -171,11 +185,19 @@ def tier_counts(variants: DataFrame) -> DataFrame:
     return variants.groupBy("pid", _tier(F.col("source_step")).alias("tier")).agg(F.count("*").alias("n_variants"))
 
 
-def candidate_table(variants: DataFrame, n: int = 100) -> DataFrame:
-    """Best candidates by composite score with labels."""
-    return top_per_key(variants, ["pid"], [F.desc_nulls_last("composite_score"), "seq_no"], n).select(
+def candidate_table(variants: DataFrame, score_keys: tuple[str, ...] = (), n: int = 100) -> DataFrame:
+    """Best candidates with labels and a column for each of ``score_keys``.
+
+    They go by composite score; a table without that column goes by the first key.
+    """
+    value = {k: F.try_element_at("scores", F.lit(k)) for k in score_keys}
+    composite = "composite_score" in variants.columns
+    order = F.col("composite_score") if composite else value[score_keys[0]] if score_keys else F.lit(None).cast("double")
+    rows = variants.withColumn("_order", order)
+    return top_per_key(rows, ["pid"], [F.desc_nulls_last("_order"), "seq_no"], n).select(
         "pid", "rank", "candidate_id", F.array_join(S.labels(F.col("mutations")), ", ").alias("labels"),
-        S.num_mutations(F.col("mutations")).alias("n_mutations"), "composite_score")
+        S.num_mutations(F.col("mutations")).alias("n_mutations"), *(["composite_score"] if composite else []),
+        *[v.alias(k) for k, v in value.items()])
 
 
 def top_recommendations(variants: DataFrame, n: int = 20) -> DataFrame:
@@ -186,8 +208,9 @@ def top_recommendations(variants: DataFrame, n: int = 20) -> DataFrame:
 
 
 def variant_library(variants: DataFrame) -> DataFrame:
-    """Every variant with its rank inside the protein."""
-    return full_rank(variants, ["pid"], "composite_score", "seq_no")
+    """Every variant with its rank inside the protein and its values under the popular keys."""
+    ranked = full_rank(variants, ["pid"], "composite_score", "seq_no")
+    return with_shown_scores(ranked, popular_score_keys(variants))
 
 
 def executive_summary(variants: DataFrame) -> DataFrame:

@@ -10,6 +10,18 @@ from proteoframe.functions import text as S
 from proteoframe.operators.windows import position_windows, runs
 
 
+def protected_set(proteins: DataFrame, value: str | list | set | None) -> DataFrame:
+    """``pid, position`` of residues given once for all proteins: "10,25", [10, 25] or None."""
+    if value is None:
+        wanted = []
+    elif isinstance(value, (list, set, tuple)):
+        wanted = [int(x) for x in value]
+    else:
+        wanted = [int(x) for x in str(value).split(",") if x.strip()]
+    positions = F.array(*[F.lit(p) for p in sorted(set(wanted))]).cast("array<int>")
+    return proteins.select("pid", F.explode(positions).alias("position"))
+
+
 def exclude_protected(df: DataFrame, protected: DataFrame | None, on: str = "position") -> DataFrame:
     """Drop rows whose ``(pid, position)`` must not be mutated."""
     if protected is None:

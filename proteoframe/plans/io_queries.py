@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from proteoframe.operators.windows import residues
 from proteoframe.plans import projections as P
 from proteoframe.plans.catalog import Catalog
-from proteoframe.plans.sqlbase import ATOMS, BMUT, BSEQ, LINES, OCANDS, OMUTS, OSCORES, RES, SEQS, r6, with_
+from proteoframe.plans.sqlbase import ATOMS, BMUT, BSEQ, LINES, OCANDS, OMUTS, OSCORES, RES, SEQS, TCAND, r6, with_
 from proteoframe.functions import text as S
 from proteoframe.operators import scoring as C
 from proteoframe.session import use_checkpoint_dir
@@ -108,16 +108,14 @@ def design_files(spark, d):
     sets = P.benchmark_mutations(spark, d).groupBy("pid", "set_id").agg(F.count("*").alias("n"))
     rows = sets.join(P.benchmark_sequences(spark, d), "pid").select(
         "pid", F.col("set_id").alias("design_no"), F.concat(
-            F.lit(">T=0.1, sample="), F.col("pid") * 10000000 + F.col("set_id"), F.lit(", score="), F.col("n") / 8.0,
+            F.lit(">T=0.1, sample="), F.col("pid"), F.lit("/"), F.col("set_id"), F.lit(", score="), F.col("n") / 8.0,
             F.lit(", seq_recovery="), 1 / (1.0 + F.col("n")), F.lit("\n"), "sequence").alias("value"))
     native = F.concat(F.lit(">native, score=9.0, seq_recovery=1.0\nMKV\n"), F.array_join(F.collect_list("value"), "\n"))
     rows.groupBy("pid", F.floor(F.col("design_no") / 2000).alias("part")).agg(native.alias("value")).select("value").write.option(
         "maxRecordsPerFile", 1).text(path)
-    found = fasta.read_designs(spark, path)
-    ids = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("path"), F.posexplode(F.regexp_extract_all("value", F.lit(r"sample=(\d+)"), 1)).alias("i", "id"))
-    return found.join(ids.withColumn("rec_idx", F.col("i") + 1), ["path", "rec_idx"]).select(
-        F.floor(F.col("id").cast("bigint") / 10000000).alias("pid"), (F.col("id").cast("bigint") % 10000000).alias("design_no"),
+    sample = F.split(F.regexp_extract("header", r"sample=(\d+/\d+)", 1), "/")
+    return fasta.read_designs(spark, path).select(
+        sample[0].cast("bigint").alias("pid"), sample[1].cast("bigint").alias("design_no"),
         "score", "recovery", F.md5("sequence").alias("digest"))
 
 
@@ -162,6 +160,47 @@ def json_results_dir(spark, d):
     return lines.select("step_name", "candidate_id", F.array_join(S.labels(F.col("mutations")), ",").alias("labels"))
 
 
+@query(with_(TCAND, body="""
+SELECT pid AS step_name, candidate_id, parent_id, md5(sequence) AS digest, CAST(length(sequence) AS DOUBLE) AS n_score,
+       'kept' AS note FROM tc WHERE pid IS NOT NULL
+"""))
+def step_results_json(spark, d):
+    """Step results as JSON documents: an older write of the same steps and a broken file do not count."""
+    path = scratch(spark)
+    cands = P.text_candidates(spark, d).filter("pid is not null").select(
+        F.col("pid").alias("step_name"), F.col("candidate_id").cast("string").alias("candidate_id"),
+        F.col("parent_id").cast("string").alias("parent_id"), "sequence",
+        F.create_map(F.lit("length"), F.length("sequence").cast("double")).alias("scores"))
+    info = cands.groupBy("step_name").agg(F.lit("2020-01-01").alias("timestamp"), F.array(F.lit("kept")).alias("warnings"),
+                                          F.lit('{"k": 1}').alias("config_used"), F.lit("{}").alias("metadata"))
+    results.write_step_results(cands.withColumn("sequence", F.lit("OLD")), f"{path}/0", True, batch="old")
+    results.write_step_results(cands, f"{path}/1", True, info, batch="new")
+    spark.range(1).select(F.lit('{"step_name": "broken", ').alias("value")).write.option("compression", "none").text(f"{path}/2")
+    back = results.read_results_dir(spark, f"{path}/*")
+    notes = results.read_step_info(spark, f"{path}/1/*.json").select(
+        "step_name", F.get("warnings", F.lit(0)).alias("note")).distinct()
+    return back.join(notes, "step_name").select(
+        "step_name", F.col("candidate_id").cast("bigint").alias("candidate_id"), F.col("parent_id").cast("bigint").alias("parent_id"),
+        F.md5("sequence").alias("digest"), F.try_element_at("scores", F.lit("length")).alias("n_score"), "note")
+
+
+@query(with_(SEQS, body="""
+SELECT 'fasta' AS kind, md5(sequence) AS digest, count(*) AS n FROM seqs GROUP BY ALL
+UNION ALL SELECT 'json', md5(sequence), count(*) FROM seqs GROUP BY ALL
+"""))
+def loaded_candidates(spark, d):
+    """Candidates loaded from files by their suffix, and from FASTA files without one."""
+    path = scratch(spark)
+    seqs = P.sequences(spark, d).select(
+        F.col("pid").cast("string").alias("name"), F.col("pid").cast("string").alias("candidate_id"),
+        F.array().cast("array<string>").alias("labels"), "sequence")
+    fasta.write_fasta(seqs, f"{path}/fasta")
+    results.write_step_results(seqs.select(F.lit("input").alias("step_name"), "candidate_id", "name", "sequence"), f"{path}/json", True)
+    parts = [fasta.load_candidates(spark, p).select(F.lit(k).alias("kind"), F.md5("sequence").alias("digest"))
+             for k, p in (("fasta", f"{path}/fasta"), ("json", f"{path}/json/*.json"))]
+    return parts[0].unionByName(parts[1]).groupBy("kind", "digest").agg(F.count("*").alias("n"))
+
+
 @query(with_(BSEQ, RES, body="""
 SELECT pid, position, aa AS wt, 'A' AS mut, round((position % 7) / 7.0::DOUBLE - 0.5, 6) + 0.0 AS ddg FROM res
 """))

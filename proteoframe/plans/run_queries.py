@@ -562,12 +562,20 @@ def top_positions(spark, d):
 
 
 @query(with_(RUN, RSCORES, RCOMP, VARS, body=f"""
-SELECT pid, source_step, candidate_id, {r6('composite_score')} AS sort_score,
-       row_number() OVER (PARTITION BY pid, source_step ORDER BY composite_score DESC, seq_no) AS rank
-FROM v QUALIFY rank <= 100
+, b AS (SELECT pid, source_step, candidate_id, row_number() OVER (PARTITION BY pid, source_step ORDER BY composite_score DESC, seq_no) AS r
+        FROM v QUALIFY r <= 50),
+pk AS (SELECT b.pid, b.source_step, score_key FROM b JOIN rs USING (candidate_id) GROUP BY b.pid, b.source_step, score_key
+       QUALIFY row_number() OVER (PARTITION BY b.pid, b.source_step ORDER BY count(*) DESC, score_key) <= 5),
+sh AS (SELECT v.candidate_id, count(*) AS n, sum(value) AS s FROM v JOIN rs ON rs.candidate_id = v.candidate_id
+       JOIN pk ON pk.pid = v.pid AND pk.source_step = v.source_step AND pk.score_key = rs.score_key GROUP BY v.candidate_id)
+SELECT pid, source_step, v.candidate_id, {r6('composite_score')} AS sort_score,
+       row_number() OVER (PARTITION BY pid, source_step ORDER BY composite_score DESC, seq_no) AS rank,
+       coalesce(sh.n, 0) AS n_shown, {r6("coalesce(sh.s, 0)")} AS shown_sum
+FROM v LEFT JOIN sh ON sh.candidate_id = v.candidate_id QUALIFY rank <= 100
 """))
 def step_variant_table(spark, d):
-    return R.step_variants(variants(spark, d)).select("pid", "source_step", "candidate_id", "sort_score", "rank")
+    return R.step_variants(variants(spark, d)).select(
+        "pid", "source_step", "candidate_id", "sort_score", "rank", *_shown())
 
 
 @query(with_(RUN, RSCORES, RCOMP, VARS, body=f"""
@@ -604,11 +612,12 @@ def tier_warnings(spark, d):
 
 @query(with_(RUN, RSCORES, RCOMP, VARS, body=f"""
 SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY composite_score DESC, seq_no) AS rank, candidate_id,
-       label AS labels, CAST(1 AS BIGINT) AS n_mutations, {r6('composite_score')} AS composite_score
+       label AS labels, CAST(1 AS BIGINT) AS n_mutations, {r6('composite_score')} AS composite_score,
+       {r6('e1_fitness')} AS e1_fitness, {r6('esm1v_delta')} AS esm1v_delta, {r6("CASE WHEN own_key = 'ddg' THEN score END")} AS ddg
 FROM v QUALIFY rank <= 100
 """))
 def candidate_table(spark, d):
-    return R.candidate_table(variants(spark, d))
+    return R.candidate_table(variants(spark, d), ("e1_fitness", "esm1v_delta", "ddg"))
 
 
 @query(with_(RUN, RSCORES, RCOMP, VARS, body=f"""
@@ -623,14 +632,27 @@ def top_recommendations(spark, d):
 
 
 @query(with_(RUN, RSCORES, RCOMP, VARS, body=f"""
-SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY composite_score DESC, seq_no) AS rank, candidate_id,
-       label AS labels, source_step, {r6('composite_score')} AS composite_score, {r6('e1_fitness')} AS e1_fitness
-FROM v
+, b AS (SELECT pid, candidate_id, row_number() OVER (PARTITION BY pid ORDER BY composite_score DESC, seq_no) AS r
+        FROM v QUALIFY r <= 200),
+pk AS (SELECT b.pid, score_key FROM b JOIN rs USING (candidate_id) GROUP BY b.pid, score_key
+       QUALIFY row_number() OVER (PARTITION BY b.pid ORDER BY count(*) DESC, score_key) <= 6),
+sh AS (SELECT rs.candidate_id, count(*) AS n, sum(value) AS s FROM rs JOIN pk ON pk.pid = rs.pid AND pk.score_key = rs.score_key
+       GROUP BY rs.candidate_id)
+SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY composite_score DESC, seq_no) AS rank, v.candidate_id,
+       label AS labels, source_step, {r6('composite_score')} AS composite_score, {r6('e1_fitness')} AS e1_fitness,
+       coalesce(sh.n, 0) AS n_shown, {r6("coalesce(sh.s, 0)")} AS shown_sum
+FROM v LEFT JOIN sh ON sh.candidate_id = v.candidate_id
 """))
 def variant_library(spark, d):
     return R.variant_library(variants(spark, d)).select(
         "pid", "rank", "candidate_id", F.array_join(S.labels(F.col("mutations")), ", ").alias("labels"),
-        "source_step", "composite_score", F.try_element_at("scores", F.lit("e1_fitness")).alias("e1_fitness"))
+        "source_step", "composite_score", F.try_element_at("scores", F.lit("e1_fitness")).alias("e1_fitness"), *_shown())
+
+
+def _shown():
+    """Number and sum of the shown values."""
+    values = F.filter(F.transform("shown", lambda s: s["value"]), lambda x: x.isNotNull())
+    return (F.size(values).alias("n_shown"), F.aggregate(values, F.lit(0.0), lambda a, x: a + x).alias("shown_sum"))
 
 
 @query(with_(RUN, RSCORES, RCOMP, VARS, body=f"""

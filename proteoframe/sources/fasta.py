@@ -111,7 +111,7 @@ def read_designs(spark: SparkSession, path: str, drop_native: bool = True) -> Da
             F.regexp_extract("header", rf"(?:^|,)\s*{key}=\s*([-+0-9.eE]+)", 1).try_cast("double"), F.lit(0.0))
 
     rows = _records(spark, path).select(
-        "path", "rec_idx", value("score").alias("score"), value("seq_recovery").alias("recovery"),
+        "path", "rec_idx", "header", value("score").alias("score"), value("seq_recovery").alias("recovery"),
         _residues(F.col("body")).alias("sequence"))
     last = rows.groupBy("path").agg(F.max("rec_idx").alias("_last"))
     kept = rows.join(last, "path").filter((F.col("rec_idx") < F.col("_last")) | (F.col("score") != 0.0)).drop("_last")
