@@ -34,7 +34,9 @@ from proteoframe.llm.textstats import N_FEATURES, features
 
 THRESHOLD = 0.7
 ROUNDS = 12
-RIDGE = 1e-3
+#: Ridge on the weights: RIDGE, and RIDGE_TEXTS over the number of unlabelled texts on top, which matters
+#: in small tables, where chance differences between positives and unlabelled texts would be learnt.
+RIDGE, RIDGE_TEXTS = 0.1, 100.0
 D = N_FEATURES + 1  # with the constant
 _UPPER = np.triu_indices(D)
 
@@ -129,7 +131,7 @@ def fit(unlabelled: DataFrame, positive: DataFrame, prior: float, rounds: int =
 
     w = np.zeros(D)
     w[-1] = np.log(prior / (1 - prior))
-    keep = np.full(D, ridge)
+    keep = np.full(D, ridge + RIDGE_TEXTS / n)
     keep[-1] = 0.0
     for _ in range(rounds):
         loss_u, grad_u, hess = unlabelled_side(w)

@@ -25,6 +25,7 @@ from proteoframe.llm.base import piece_digits, running_sum, seeded_key, store, w
 EXACT = 4096
 BUCKETS = 16
 BUDGET = 65_536
+RESULT = ("n_tokens", "bucket", "bucket_len", "batch", "slot", "padding")
 
 
 def cell(length: Column) -> Column:
@@ -90,9 +91,9 @@ def _useless(a: tuple, b: tuple, c: tuple) -> bool:
 
 def packed(docs: DataFrame, budget: int = BUDGET, buckets: int = BUCKETS, seed: int = 42,
            doc_id: str = "doc_id", text: str = "text", length: Column | None = None) -> DataFrame:
-    """All columns of ``docs`` with ``n_tokens, bucket, bucket_len, batch, slot, padding`` per row."""
+    """Every row with ``n_tokens, bucket, bucket_len, batch, slot, padding``; own columns of these names go."""
     size = word_count(F.col(text)) if length is None else length
-    row = F.struct("*").alias("_row")
+    row = F.struct(*(c for c in docs.columns if c not in RESULT)).alias("_row")
     df = docs.select(row, size.alias("n_tokens"), seeded_key(seed, doc_id).alias("_key"))
     lengths = store(df.groupBy("n_tokens").count())
     grid = (lengths.groupBy(cell(F.col("n_tokens")).alias("_cell"))

@@ -27,7 +27,7 @@ def test_batches(docs):
     rng = random.Random(4)
     rows = [(i, "w " * int(rng.expovariate(0.02)), "s") for i in range(700)] + [(5000, "w " * 9000, "s"), (None, None, None),
                                                                               (5001, "", "s"), (3, "w w", "s"), (3, "w w", "s")]
-    df = docs(rows).withColumn("batch", F.lit("clash")).drop("batch").withColumn("_key", F.lit(1))
+    df = docs(rows).withColumn("batch", F.lit("clash")).withColumn("_key", F.lit(1))
     got = packing.packed(df, budget=2000, buckets=6).collect()
     assert len(got) == len(rows)
     assert sorted(r.n_tokens for r in got) == sorted(len((t or "").split()) for _, t, _ in rows)
