@@ -238,17 +238,16 @@ def pssm_table(muts: DataFrame) -> DataFrame:
         (F.col("wt") == "C").alias("removes_cys"), (F.col("mut") == "C").alias("introduces_cys"))
 
 
-def step_breakdown(cys: DataFrame, hits: DataFrame, flags: DataFrame) -> DataFrame:
-    """Counts per step, category and risk band."""
-    parts = [
-        cys.select(F.lit("cysteine_scan").alias("source_step"), F.lit("cysteine").alias("category"),
-                   S.band(F.round("score", 9), [(0.7, "bad"), (0.5, "warn")], "good").alias("band")),
-        hits.select(F.lit("motif_scan").alias("source_step"), "category",
-                    S.band(F.round("risk", 9), [(0.7, "bad"), (0.4, "warn")], "good").alias("band")),
-        flags.select(F.lit("sequence_complexity").alias("source_step"), "category",
-                     S.band(F.round("risk", 9), [(0.7, "bad"), (0.3, "warn")], "good").alias("band")),
-    ]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+def step_breakdown(hits: DataFrame, flags: DataFrame) -> DataFrame:
+    """Counts per step, category and risk band; ``hits`` hold cysteines and motifs."""
+    is_cys, risk = F.col("category") == "cysteine", F.round("risk", 9)
+    out = hits.select(
+        F.when(is_cys, "cysteine_scan").otherwise("motif_scan").alias("source_step"), "category",
+        F.when(is_cys, S.band(risk, [(0.7, "bad"), (0.5, "warn")], "good"))
+        .otherwise(S.band(risk, [(0.7, "bad"), (0.4, "warn")], "good")).alias("band")
+    ).unionByName(flags.select(
+        F.lit("sequence_complexity").alias("source_step"), "category",
+        S.band(risk, [(0.7, "bad"), (0.3, "warn")], "good").alias("band")))
     return out.groupBy("source_step", "category", "band").agg(F.count("*").alias("n"))
 
 

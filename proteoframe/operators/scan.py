@@ -32,22 +32,29 @@ def exclude_protected(df: DataFrame, protected: DataFrame | None, on: str = "pos
 
 # ---------------------------------------------------------------- cysteines
 
-def cysteine_hits(seqs: DataFrame) -> DataFrame:
-    """Every cysteine with its risk and bracketed context."""
-    w = position_windows(seqs, 19, 19, where=lambda at: at() == "C")
+CYS_REACH = 19
+
+
+def _cysteine_risk(window: Column) -> Column:
+    """Risk of the cysteine in the middle of a window of CYS_REACH residues on both sides."""
     near_end = F.least(F.col("position") - 1, F.col("seq_len") - F.col("position")) < 5
-    charged = S.count_of(F.col("window").substr(17, 7), K.CHARGED) >= 2
-    crowded = S.count_of(F.col("window"), "C") > 1
+    charged = S.count_of(window.substr(CYS_REACH - 2, 7), K.CHARGED) >= 2
+    crowded = S.count_of(window, "C") > 1
     risk = (
         F.lit(0.5)
         + F.when(near_end, 0.2).otherwise(0.0)
         + F.when(charged, 0.15).otherwise(0.0)
         + F.when(crowded, 0.15).otherwise(0.0)
     )
+    return F.least(risk, F.lit(1.0))
+
+
+def cysteine_hits(seqs: DataFrame) -> DataFrame:
+    """Every cysteine with its risk and bracketed context."""
+    w = position_windows(seqs, CYS_REACH, CYS_REACH, where=lambda at: at() == "C")
     return w.select(
-        "pid", "position",
-        F.least(risk, F.lit(1.0)).alias("risk"),
-        S.context(F.col("window").substr(15, 11), 5, 5).alias("context"),
+        "pid", "position", _cysteine_risk(F.col("window")).alias("risk"),
+        S.context(F.col("window").substr(CYS_REACH - 4, 11), 5, 5).alias("context"),
     )
 
 
@@ -96,51 +103,61 @@ def remove_all_cysteines(seqs: DataFrame, replacement: str = "S",
 
 # ------------------------------------------------------------------- motifs
 
-def motif_hits(seqs: DataFrame, run_length: int = 5) -> DataFrame:
-    """Deamidation, oxidation, dibasic and hydrophobic-run hits with their fix.
+MOTIF_REACH = 3
+
 
-    Double R and double K match left to right without overlap, so the first
+def _marked(seqs: DataFrame) -> DataFrame:
+    """Double R and double K match left to right without overlap, so the first
     letter of each such match is put in lower case before the positional view;
-    the letter then marks the hit wherever the tile borders fall.
-    """
-    marked = seqs.select(
+    the letter then marks the hit wherever the tile borders fall."""
+    return seqs.select(
         "pid", "sequence",
         F.regexp_replace(F.regexp_replace("sequence", "RR", "rR"), "KK", "kK").alias("twins"),
     )
-    pairs = [*K.DEAMIDATION_RULES, "KR", "RK"]
-    w = position_windows(
-        marked, 3, 3, also={"twins": F.col("twins")},
-        where=lambda at: at(0, 1, "twins").isin("M", "r", "k") | at(0, 2).isin(*pairs),
-    ).select(
-        "pid", "position", "window",
-        F.col("twins").substr(4, 1).alias("mark"), F.col("window").substr(4, 2).alias("pair"),
-    )
+
+
+def _is_motif(at) -> Column:
+    return at(0, 1, "twins").isin("M", "r", "k") | at(0, 2).isin(*K.DEAMIDATION_RULES, "KR", "RK")
+
+
+def _local_hits(w: DataFrame, reach: int, cysteine: str | None = None) -> DataFrame:
+    """Hits that a window of ``reach`` residues on both sides shows. With ``cysteine``, its
+    replacement, cysteines are hits of that category as well."""
+    pair, mark = F.col("window").substr(reach + 1, 2), F.col("twins").substr(reach + 1, 1)
+    near = F.col("window").substr(reach - MOTIF_REACH + 1, 2 * MOTIF_REACH + 1)
+    w = w.select("pid", "position", "seq_len", "window", near.alias("near"), mark.alias("mark"), pair.alias("pair"))
     amide = S.lookup(F.col("pair"), K.DEAMIDATION_RULES)
     dibasic = F.when(
         F.col("mark").isin("r", "k") | F.col("pair").isin("KR", "RK"),
         S.lookup(F.col("pair"), K.DIBASIC_RULES),
     )
-    is_met = F.col("mark") == "M"
-    met_risk = F.lit(0.3) + 0.15 * F.least(S.count_of(F.col("window"), K.CHARGED), F.lit(3))
+    is_met, is_cys = F.col("mark") == "M", F.lit(False) if cysteine is None else F.col("mark") == "C"
+    met_risk = F.lit(0.3) + 0.15 * F.least(S.count_of(F.col("near"), K.CHARGED), F.lit(3))
     category = (
-        F.when(amide.isNotNull(), "deamidation").when(is_met, "oxidation")
+        F.when(amide.isNotNull(), "deamidation").when(is_met, "oxidation").when(is_cys, "cysteine")
         .when(dibasic.isNotNull(), "proteolysis")
     )
+    risks = [amide, F.when(is_met, met_risk), dibasic]
+    if cysteine is not None:
+        risks.append(F.when(is_cys, _cysteine_risk(F.col("window"))))
     first, second = F.col("pair").substr(1, 1), F.col("pair").substr(2, 1)
-    local = w.withColumn("category", category).select(
+    return w.withColumn("category", category).select(
         "pid", "category",
         F.when(is_met, F.concat(F.lit("Met"), F.col("position").cast("string")))
-        .otherwise(F.col("pair")).alias("pattern"),
+        .when(is_cys, "Cys").otherwise(F.col("pair")).alias("pattern"),
         "position",
-        F.when(is_met, F.lit("M")).otherwise(F.col("pair")).alias("residues"),
-        F.coalesce(amide, F.when(is_met, met_risk), dibasic).alias("risk"),
+        F.when(is_met | is_cys, first).otherwise(F.col("pair")).alias("residues"),
+        F.coalesce(*risks).alias("risk"),
         F.when(F.col("category") == "proteolysis", F.col("position") + 1)
         .otherwise(F.col("position")).alias("fix_position"),
         F.when(F.col("category") == "proteolysis", second).otherwise(first).alias("fix_wt"),
-        F.when(first == "D", "E").when(is_met, "L").otherwise("Q").alias("fix_mut"),
+        F.when(first == "D", "E").when(is_met, "L").when(is_cys, cysteine).otherwise("Q").alias("fix_mut"),
     )
+
+
+def _hydrophobic_runs(seqs: DataFrame, run_length: int) -> DataFrame:
     half = F.floor(F.col("length") / 2).cast("int")
-    greasy = runs(seqs, run_length, K.HYDROPHOBIC).select(
+    return runs(seqs, run_length, K.HYDROPHOBIC).select(
         "pid", F.lit("aggregation").alias("category"),
         F.concat(F.lit("hydrophobic_run_"), F.col("length").cast("string")).alias("pattern"),
         F.col("start").alias("position"), "residues",
@@ -149,7 +166,19 @@ def motif_hits(seqs: DataFrame, run_length: int = 5) -> DataFrame:
         F.col("residues").substr(half + 1, F.lit(1)).alias("fix_wt"),
         F.lit("K").alias("fix_mut"),
     )
-    return local.unionByName(greasy)
+
+
+def motif_hits(seqs: DataFrame, run_length: int = 5) -> DataFrame:
+    """Deamidation, oxidation, dibasic and hydrophobic-run hits with their fix."""
+    w = position_windows(_marked(seqs), MOTIF_REACH, MOTIF_REACH, also={"twins": F.col("twins")}, where=_is_motif)
+    return _local_hits(w, MOTIF_REACH).unionByName(_hydrophobic_runs(seqs, run_length))
+
+
+def liability_hits(seqs: DataFrame, run_length: int = 5, replacement: str = "S") -> DataFrame:
+    """Motif hits and cysteines (category ``cysteine``) from one positional view."""
+    w = position_windows(_marked(seqs), CYS_REACH, CYS_REACH, also={"twins": F.col("twins")},
+                         where=lambda at: (at() == "C") | _is_motif(at))
+    return _local_hits(w, CYS_REACH, replacement).unionByName(_hydrophobic_runs(seqs, run_length))
 
 
 def motif_totals(hits: DataFrame) -> DataFrame:

@@ -18,9 +18,12 @@ from proteoframe.operators import structure as G
 from proteoframe.operators.windows import residues
 from proteoframe.plans import projections as P
 from proteoframe.plans.catalog import Catalog
+from proteoframe.plans.biophys_queries import BISECT, PROPS, SCALE, charge_sql
 from proteoframe.plans.sequence_queries import CYS, FLAGS, MOTIF
+from proteoframe.plans.structure_queries import patch_members
 from proteoframe.plans.sqlbase import (
-    ATOMS, BMUT, BSEQ, DOCMUT, LINES, LOGPROBS, MSA, PROT, PSSM, PSSMMUT, RES, SEQS, TCAND, VSEQ, r6, with_)
+    ATOMS, BMUT, BSEQ, DOCMUT, LINES, LOGPROBS, MSA, PATCH, PROT, PSSM, PSSMMUT, RES, SASA, SEQS, SURFACE,
+    TCAND, VSEQ, r6, with_)
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -187,7 +190,7 @@ FROM rl GROUP BY ALL
 def liability_table(spark, d):
     """The whole table, told per protein, category and band: counts, sums, and a digest of its rows."""
     seqs, prot = P.sequences(spark, d), P.protected_positions(spark, d)
-    rows = E.liabilities(scan.cysteine_scan(seqs, protected=prot), scan.motif_hits(seqs), prot)
+    rows = E.liabilities(scan.liability_hits(seqs), prot)
     line = F.concat(F.col("residue"), F.col("position").cast("string"), F.coalesce(F.concat(F.lit(">"), "fix"), F.lit("")))
     return rows.groupBy("pid", "category", "band").agg(
         F.count("*").alias("n"), F.sum("risk").alias("risk_sum"), F.count("fix").alias("n_fixes"),
@@ -208,10 +211,10 @@ SELECT 'sequence_complexity', category,
        CASE WHEN round(risk, 9) >= 0.7 THEN 'bad' WHEN round(risk, 9) >= 0.3 THEN 'warn' ELSE 'good' END, count(*) FROM flags GROUP BY ALL
 """))
 def step_breakdown(spark, d):
-    seqs = P.sequences(spark, d)
-    return R.step_breakdown(
-        scan.cysteine_scan(seqs, protected=P.protected_positions(spark, d)),
-        scan.motif_hits(seqs), scan.complexity_flags(seqs))
+    seqs, prot = P.sequences(spark, d), P.protected_positions(spark, d)
+    shield = prot.select("pid", "position", F.lit("cysteine").alias("category"))
+    hits = scan.liability_hits(seqs).join(shield, ["pid", "position", "category"], "left_anti")
+    return R.step_breakdown(hits, scan.complexity_flags(seqs))
 
 
 FLAGGED = """
@@ -260,21 +263,35 @@ def pssm_table(spark, d):
     return R.pssm_table(M.pssm_mutations(M.pssm(M.column_counts(msa, cmap), cmap)))
 
 
-@query(with_(ATOMS, body="""
-, s AS (SELECT structure_id AS pid, string_agg(aa, '' ORDER BY position) AS sequence FROM vecs GROUP BY structure_id)
-SELECT pid, length(sequence) AS length,
-       length(sequence) - length(replace(sequence, 'C', '')) AS cys_count,
-       length(sequence) - length(replace(sequence, 'P', '')) AS proline_count,
-       round((SELECT avg(bfactor) FROM atoms a WHERE a.structure_id = pid AND atom = 'CA'), 1) + 0.0 AS plddt_mean,
-       round((SELECT min(bfactor) FROM atoms a WHERE a.structure_id = pid AND atom = 'CA'), 1) + 0.0 AS plddt_min
-FROM s
-"""))
+CHAINS = """
+seqs AS (SELECT structure_id AS pid, string_agg(aa, '' ORDER BY position) AS sequence FROM vecs GROUP BY structure_id)"""
+
+
+@query(with_(ATOMS, SASA, SURFACE, PATCH, CHAINS, RES, SCALE, PROPS, body=BISECT + f"""
+, hw AS (
+  SELECT r.pid, r.position, n,
+         sum(kd) OVER (PARTITION BY r.pid ORDER BY r.position ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING) > 112 AS hot
+  FROM res r JOIN scale USING (aa)),
+hv AS (SELECT *, lag(hot) OVER (PARTITION BY pid ORDER BY position) AS before FROM hw WHERE position + 6 <= n),
+ag AS (SELECT pid, count(*) FILTER (hot) / count(*) AS share, count(*) FILTER (hot AND NOT coalesce(before, false)) AS patches
+       FROM hv GROUP BY pid),
+cf AS (SELECT structure_id AS pid, avg(bfactor) FILTER (atom = 'CA') AS ca_mean, min(bfactor) FILTER (atom = 'CA') AS ca_low
+       FROM atoms GROUP BY structure_id),
+np AS (SELECT structure_id AS pid, count(DISTINCT patch) AS n_patches FROM mem GROUP BY structure_id)
+SELECT cnt.pid, n AS length, {r6('mw')} AS mw, {r6('round((lo + hi) / 2, 2)')} AS pi, {r6('gravy')} AS gravy,
+       {r6('round(' + charge_sql('7.4', 'cnt.') + ', 1)')} AS charge_7_4, {r6('round(ii, 2)')} AS instability_index,
+       {r6('round(ai, 1)')} AS aliphatic_index, cnt.c AS cys_count, rare AS rare_codons, pro AS proline_count,
+       CASE WHEN round(ii, 2) < 40 THEN 'Stable' ELSE 'Unstable' END AS instability_label,
+       {r6('round(coalesce(share, 0), 3)')} AS agg_score, coalesce(patches, 0) AS agg_patches,
+       {r6('round(cf.ca_mean, 1)')} AS plddt_mean, {r6('round(cf.ca_low, 1)')} AS plddt_min, coalesce(np.n_patches, 0) AS n_surface_patches
+FROM cnt JOIN inst ON inst.pid = cnt.pid JOIN bis ON bis.pid = cnt.pid AND bis.step = 100
+LEFT JOIN ag ON ag.pid = cnt.pid LEFT JOIN cf ON cf.pid = cnt.pid LEFT JOIN np ON np.pid = cnt.pid
+""").replace("WITH RECURSIVE", "WITH").replace("WITH", "WITH RECURSIVE", 1))
 def protein_metrics(spark, d):
-    """Metrics row of each chain with its confidence and surface patches."""
+    """Whole metrics row of each chain with its confidence and surface patches."""
     atoms = P.atoms(spark, d)
     chain = atoms.select(F.col("structure_id").alias("pid"), "position", "aa").distinct()
     seqs = chain.groupBy("pid").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("position", "aa"))), lambda r: r["aa"]), "").alias("sequence"))
     conf = G.plddt(atoms).select(F.col("structure_id").alias("pid"), "plddt_mean", "plddt_min")
-    return biophys.protein_metrics(seqs, conf).select(
-        "pid", "length", "cys_count", "proline_count", "plddt_mean", "plddt_min")
+    return biophys.protein_metrics(seqs, conf, patch_members(spark, d))

@@ -98,7 +98,7 @@ def surface_hydrophobics(spark, d):
     return _surface(spark, d)
 
 
-def _members(spark, d):
+def patch_members(spark, d):
     return G.patches(_surface(spark, d), G.residue_points(P.atoms(spark, d)))
 
 
@@ -106,7 +106,7 @@ def _members(spark, d):
 SELECT structure_id, position, aa, {r6('exposure')} AS exposure, {r6('score')} AS score, patch, patch_size FROM mem
 """).replace("WITH", "WITH RECURSIVE", 1))
 def surface_patches(spark, d):
-    return _members(spark, d)
+    return patch_members(spark, d)
 
 
 @query(with_(ATOMS, SASA, SURFACE, PATCH, body=f"""
@@ -118,7 +118,7 @@ SELECT structure_id, position, m.aa AS wt, mut, {r6('score')} AS score, patch_si
 FROM mem m JOIN sub s ON s.aa = m.aa QUALIFY rank <= 10
 """).replace("WITH", "WITH RECURSIVE", 1))
 def surface_variants(spark, d):
-    return G.surface_variants(_members(spark, d))
+    return G.surface_variants(patch_members(spark, d))
 
 
 def _rmsd(spark, d):

@@ -152,7 +152,7 @@ def test_sphere_points_are_limited(spark):
 
 def test_liabilities_are_ranked(spark, seqs):
     s = seqs("MNGCKKRRMAAAC")
-    rows = evidence.liabilities(scan.cysteine_scan(s), scan.motif_hits(s)).orderBy("rank").collect()
+    rows = evidence.liabilities(scan.liability_hits(s)).orderBy("rank").collect()
     risks = [round(r.risk, 9) for r in rows]
     assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1)) and risks == sorted(risks, reverse=True)
 
