@@ -107,7 +107,7 @@ def test_metrics(seqs):
     r = biophys.sequence_metrics(seqs("G", "WMGG")).orderBy("pid").collect()
     assert r[0]["mw"] == pytest.approx(75.03) and r[0]["instability_index"] == 0.0
     # WM 24.68, MG 1.0, GG -7.49
-    assert r[1]["instability_index"] == pytest.approx(10 / 4 * (24.68 + 1.0 - 7.49))
+    assert r[1]["instability_index"] == round(10 / 4 * (24.68 + 1.0 - 7.49), 2)
     assert r[1]["rare_codons"] == 2
 
 
