@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from proteoframe.llm import (
     chat, classifier, fixity, licenses, mixing, nearest, packing, rules, simhash, sql, wavelet)
-from proteoframe.llm.base import running_sum, store
+from proteoframe.llm.base import running_sum, store, word_count
 
 #: Pages of one archive file.
 FILE_PAGES = 1000
@@ -33,7 +33,9 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    # Only lengths decide, so texts stay behind.
+    sizes = _table(spark, sf_dir, "documents").select("doc_id", word_count(F.col("text")).alias("size"))
+    return packing.packed(sizes, length=F.col("size")).drop("size")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
