@@ -34,8 +34,11 @@ from proteoframe.llm.base import running_sum, small_batches, store
 #: Ids of a shard: documents are added until it has as many.
 SHARD_IDS = 1 << 22
 BLOCK_BITS = 1 << 16
-#: Words whose ids a Python worker remembers; beyond that it starts anew.
-CACHE_WORDS = 400_000
+#: Words, and letter runs, of a generation of the ids that a Python worker remembers.
+CACHE_WORDS, CACHE_RUNS = 300_000, 700_000
+#: Plain words: letters below LATIN_END but for DOTTED (lower case adds an accent to it), then some of MARKS.
+#: TOGETHER of their letter runs are encoded in one text.
+MARKS, LATIN_END, DOTTED, TOGETHER = ".,!?;:", "\u0250", "\u0130", 250
 _HEAD = struct.Struct("<4sBIQ")
 _RAW = b"\x00"
 
@@ -169,20 +172,80 @@ class Shard:
         return now
 
 
-class WordIds(dict):
-    """Ids of words as bytes. A word is what stands between ASCII white space, where the tokenizer splits too."""
+class Generations(dict):
+    """A dict of bounded size: when it is full it becomes the old generation, and what is asked for
+    again comes back from there, so frequent keys stay."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], dtype: str) -> None:
+    def __init__(self, size: int) -> None:
         super().__init__()
-        self.encode, self.dtype = encode, dtype
+        self.size, self.old = size, {}
 
-    def learn(self, texts: list[list[bytes]]) -> None:
-        new = list(set().union(*texts).difference(self)) if texts else []
-        if len(self) + len(new) > CACHE_WORDS:
+    def missing(self, keys: set) -> list:
+        """Keys that neither generation has."""
+        if len(self) > self.size:
+            self.old = dict(self)
             self.clear()
-            new = list(set().union(*texts))
-        for word, ids in zip(new, self.encode([w.decode("utf-8", "surrogatepass") for w in new])):
-            self[word] = np.array(ids, dtype=self.dtype).tobytes()
+        new = []
+        for key in keys.difference(self):
+            known = self.old.get(key)
+            if known is None:
+                new.append(key)
+            else:
+                self[key] = known
+        return new
+
+
+class WordIds(Generations):
+    """Ids of words as bytes. A word is what stands between ASCII white space, where the tokenizer splits too.
+
+    A plain word is a run of letters with a few marks behind; the tokenizer folds
+    case and treats both runs alone. With ``ends``, which says of every id
+    whether it ends a run, the letter runs of plain words are encoded many at a
+    time, once for all spellings, and cut apart afterwards.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], dtype: str, ends: np.ndarray | None = None,
+                 encode_runs: Callable[[list[str]], list[list[int]]] | None = None) -> None:
+        super().__init__(CACHE_WORDS)
+        self.encode, self.dtype, self.ends, self.encode_runs = encode, dtype, ends, encode_runs or encode
+        self.runs, self.marks = Generations(CACHE_RUNS), {"": b""}
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        plain, others = [], []
+        for word in self.missing(set().union(*texts)):
+            text = word.decode("utf-8", "surrogatepass")
+            letters = text.rstrip(MARKS) if self.ends is not None else ""
+            marks = text[len(letters):]
+            if len(marks) <= 2 and letters.isalpha() and (
+                    letters.isascii() or max(letters) < LATIN_END and DOTTED not in letters):
+                plain.append((word, letters.lower(), marks))
+            else:
+                others.append((word, text))
+        new = self.runs.missing({r for _, r, _ in plain})
+        for k in range(0, len(new), TOGETHER * 64):
+            self._together(new[k:k + TOGETHER * 64])
+        for marks in {m for _, _, m in plain}.difference(self.marks):
+            self.marks[marks] = self._bytes(self.encode([marks])[0])
+        for word, run, marks in plain:
+            self[word] = self.runs[run] + self.marks[marks]
+        for (word, _), ids in zip(others, self.encode([t for _, t in others])):
+            self[word] = self._bytes(ids)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _together(self, runs: list[str]) -> None:
+        cuts = range(0, len(runs), TOGETHER)
+        for k, ids in zip(cuts, self.encode_runs([" ".join(runs[k:k + TOGETHER]) for k in cuts])):
+            part, ids = runs[k:k + TOGETHER], np.array(ids, dtype=self.dtype)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):  # the tokenizer sees other runs: ask it for each
+                self.runs.update((run, self._bytes(own)) for run, own in zip(part, self.encode(part)))
+                continue
+            raw, start = ids.tobytes(), 0
+            for run, end in zip(part, (ends * ids.itemsize).tolist()):
+                self.runs[run] = raw[start:end]
+                start = end
 
 
 _words: dict[str, WordIds] = {}
@@ -195,11 +258,23 @@ def word_ids(tokenizer_file: str, dtype: str) -> WordIds:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        def encoder(tokenizer: Tokenizer) -> Callable[[list[str]], list[list[int]]]:
+            return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
         tokenizer = Tokenizer.from_file(tokenizer_file)
-        _words[key] = WordIds(
-            lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)], dtype)
+        ends = runs = None
+        if tokenizer.model.end_of_word_suffix == "</w>":
+            ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+            ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+            # Letter runs come folded and apart: the same model needs no normaliser and no pattern for them.
+            plain = Tokenizer.from_file(tokenizer_file)
+            plain.normalizer = normalizers.Sequence([])
+            plain.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            runs = encoder(plain)
+        _words[key] = WordIds(encoder(tokenizer), dtype, ends, runs)
     return _words[key]
 
 

@@ -60,12 +60,23 @@ def test_ids_equal_whole_text_encoding(spark):
     assert rows_of(spark, rows, shard_ids=5) == expected(rows)
 
 
-def test_cache_is_bounded(spark, monkeypatch):
-    words = wavelet.WordIds(lambda ws: [[len(w)] for w in ws], "<u2")
+def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(wavelet, "CACHE_WORDS", 3)
-    for batch in ([[b"a", b"bb"]], [[b"ccc", b"bb"]], [[b"dddd", b"a"]]):
+    words = wavelet.WordIds(lambda ws: [[len(w)] for w in ws], "<u2")
+    for batch in ([[b"a", b"bb"]], [[b"ccc", b"bb", b"e"]], [[b"dddd", b"a"]], [[b"a", b"zzzzzz"]], [[b"bb"]]):
         words.learn(batch)
-        assert all(words[w] == np.array([len(w)], "<u2").tobytes() for w in batch[0]) and len(words) <= 3
+        assert all(words[w] == np.array([len(w)], "<u2").tobytes() for w in batch[0])
+        assert len(words) <= 6 and len(words.old) <= 6
+
+
+def test_words_encoded_together_equal_words_encoded_alone():
+    tokenizer = Tokenizer.from_file(FILE)
+    texts = ["Straße, naïve; ÀÉÎ ŉa Ǆx ªº İstanbul Ωmega don't it's 1a a1 x.y ... !? I'm Über. ﬁne", *ODD]
+    parts = [t.encode().split() for t in texts for _ in range(3)]
+    words = wavelet.word_ids(FILE, "<u2")
+    words.learn(parts)
+    for word in set().union(*parts):
+        assert np.frombuffer(words[word], "<u2").tolist() == tokenizer.encode(word.decode(), add_special_tokens=False).ids, word
 
 
 def test_query_equals_whole_text_encoding(spark):
