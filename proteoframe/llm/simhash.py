@@ -216,11 +216,12 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"))
+    named = F.coalesce(F.col("_id").cast("string"), F.lit("null"))  # never null, so join and grouping share one exchange
     prints = store(rows.select("_id", "_hash", F.col("_row")[text].alias("_text"))
                    .select(F.col("_id").alias("doc_id"), "_hash", fingerprint_column(F.col("_text")).alias("fp")))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_hash")
     chosen = (prints.join(classes(prints).select("fp", "root"), "fp").groupBy("root")
               .agg(F.min(order).alias("_first")).select("_first.doc_id", "_first._hash"))
-    picked = store(chosen.withColumnRenamed("doc_id", "_kept").withColumnRenamed("_hash", "_kept_hash"))
-    same = F.col("_id").eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash"))
-    return (rows.join(picked, same).groupBy("_hash", "_id").agg(F.first("_row").alias("_row")).select("_row.*"))
+    picked = store(chosen.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_name"), "_hash"))
+    return (rows.withColumn("_name", named).drop("_id").join(picked, ["_name", "_hash"])
+            .groupBy("_name", "_hash").agg(F.first("_row").alias("_row")).select("_row.*"))
