@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that one piece of a running sum holds on average.
-PIECE_ROWS = 50_000
+PIECE_ROWS = 2_000
 #: Texts handed to Python at a time: bounds a worker's memory when texts are long.
 TEXTS_PER_BATCH = 500
 
