@@ -15,6 +15,9 @@ an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,23 @@ SPELLINGS = (
     ("per cent", "percent"), ("https", "http"), ("copyright holder", "copyright owner"),
 )
 
+#: Whole texts of public licenses, one file per identifier.
+TEXTS = Path(__file__).with_name("license_texts")
+# Titles that may stand above a text that has none of its own.
+TITLES = {
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "Expat License"),
+    "Zlib": ("zlib License", "The zlib/libpng License"),
+}
+THIRD_CLAUSE = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission.\n\n"""
+# The offices that copies of the older GNU texts name.
+OFFICES = ("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+           "675 Mass Ave, Cambridge, MA 02139, USA")
+OFFICE = r"51 Franklin St(reet)?, Fifth Floor, Boston,? MA\s+02110-1301\s+USA"
+
 # Identifiers and texts of short public licenses and of their usual notices.
 KNOWN = {
     "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or
@@ -96,9 +116,29 @@ def _digest(form: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """Identifier and text of the whole licenses, in the forms in which they are handed on.
+
+    With and without a title, list numbers, and what follows the end of the
+    terms (how to apply them); with the old offices of the GNU texts.
+    """
+    texts = [(f.stem, f.read_text(encoding="utf-8")) for f in sorted(TEXTS.glob("*.txt"))]
+    two = dict(texts)["BSD-2-Clause"]
+    texts += [("BSD-3-Clause", two.replace("THIS SOFTWARE IS", THIRD_CLAUSE + "THIS SOFTWARE IS")), ("ISC", KNOWN["ISC"])]
+    forms = set()
+    for license_id, text in texts:
+        for office in OFFICES:
+            whole = re.sub(OFFICE, office, text)
+            terms, end, _ = whole.partition("END OF TERMS AND CONDITIONS")
+            bare = re.sub(r"(?m)^[ \t]*[1-3]\.", "", whole) if license_id in TITLES else whole
+            forms |= {(license_id, f) for f in (whole, terms, terms + end, bare)}
+            forms |= {(license_id, f"{t}\n\n{f}") for t in TITLES.get(license_id, ()) for f in (whole, bare)}
+    return sorted(forms)
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """The built-in texts; a user may pass a larger table with these columns to ``scan``."""
-    return spark.createDataFrame(sorted(KNOWN.items()), "license_id string, text string")
+    """The built-in notices and whole texts; a user may pass another table with these columns to ``scan``."""
+    return spark.createDataFrame(sorted({*KNOWN.items(), *whole_texts()}), "license_id string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

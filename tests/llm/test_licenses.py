@@ -35,3 +35,26 @@ def test_users_may_bring_licenses(spark):
     known = spark.createDataFrame([("Z", "My own terms."), ("A", "my OWN terms"), ("E", None)], "license_id string, text string")
     df = spark.createDataFrame([(1, "My own -- TERMS")], "doc_id long, text string")
     assert [(r.line_no, r.license_id) for r in licenses.scan(df, known).collect()] == [(0, "A"), (1, "A")]
+
+
+def test_whole_licenses(spark):
+    def text(name):
+        return (licenses.TEXTS / f"{name}.txt").read_text()
+
+    notice = "Copyright (c) 2031 Some Body\nAll rights reserved.\n\n"
+    apache, gpl = text("Apache-2.0"), text("GPL-2.0-only")
+    two = text("BSD-2-Clause")
+    docs = {
+        "MIT": ["MIT License\n\n" + notice + text("MIT"), notice + text("MIT").replace("\n", "\r\n"), text("MIT")],
+        "Apache-2.0": [apache, apache.split("   APPENDIX")[0], apache.replace("[yyyy] [name of copyright owner]", "2031 Some Body")],
+        "BSD-2-Clause": [notice + two, "BSD 2-Clause License\n\n" + notice + two.replace("1. ", "* ").replace("2. ", "* ")],
+        "BSD-3-Clause": [text("BSD-3-Clause"), "BSD 3-Clause License\n\n" + notice + two.replace(
+            "THIS SOFTWARE IS", licenses.THIRD_CLAUSE + "THIS SOFTWARE IS")],
+        "GPL-2.0-only": [gpl, gpl.replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+                                          "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")],
+    }
+    docs |= {n: [text(n)] for n in ("GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "Unlicense", "BSL-1.0", "Zlib")}
+    docs[None] = [text("MIT") + "One more word.", text("MIT").replace("free of charge, ", ""), apache.split("   6. Trademarks")[0]]
+    rows = [(i, t) for i, t in enumerate(x for v in docs.values() for x in v)]
+    want = dict(enumerate(k for k, v in docs.items() for _ in v))
+    assert {r.doc_id: r.license_id for r in scan(spark, rows).filter("line_no = 0").collect()} == want
