@@ -1,8 +1,8 @@
 """License scans by canonical digest lookup, with DataFrame functions only.
 
-A text is brought to a canonical form: copyright lines go, ASCII letters are
-folded, every run of other ASCII characters than letters and digits becomes one
-blank, equivalent spellings are made one. The SHA-256 of the form is joined
+A text is brought to a canonical form: copyright lines go (also behind comment
+marks), ASCII letters are folded, every run of punctuation, symbols and blanks,
+of ASCII or not, becomes one blank, equivalent spellings are made one. The SHA-256 of the form is joined
 with the digests of known texts. Two kinds of whole texts are looked up: the
 text of a row, and each of its lines (a line that is a license notice). Nothing
 is matched in part.
@@ -83,7 +83,16 @@ USE OR PERFORMANCE OF THIS SOFTWARE.""",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
-# Lines end at \n alone.
+# Lines end at \n alone. A word like "notice" after "copyright" shows a line of the terms, cut there by
+# wrapping. "(c)" is the third item of a list in texts that hold "(b)", unless a year or "copyright" follows.
+PROSE = (r"(?:notices?|licen[sc]es?|holders?|owners?|ownership|laws?|interests?|statements?|protection|rights?|permission|"
+         r"disclaimers?|treat(?:y|ies)|doctrines|status|and|or|resulting|to|in|on|is|as|for|of|the|that|this|which)\b")
+SKIPPED = r"[^\p{L}\p{N}\n]"
+NOTICE_LINE = (rf"(?md)^{SKIPPED}*(?:portions{SKIPPED}+)?(?:copyright\b(?!{SKIPPED}*{PROSE})"
+               rf"|\(c\)%s|©|all rights reserved)[^\n]*$")
+NOTICE_LINE, LISTED_NOTICE_LINE = NOTICE_LINE % "", NOTICE_LINE % rf"{SKIPPED}*(?:\d|copyright\b)"
+BETWEEN = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x9F\x{200B}\x{FEFF}\p{P}\p{S}\p{Z}]+"
+# What the SQL twin takes for the two.
 COPYRIGHT_LINE = r"^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 OTHER = r"[^a-z0-9\x80-\x{10FFFF}\n]+"
@@ -98,8 +107,10 @@ def _spelled(text: Column, phrases: bool) -> Column:
 
 def _folded(text: Column) -> Column:
     """Canonical but for phrases, lines kept apart."""
-    lower = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    plain = F.regexp_replace(F.regexp_replace(lower, "(?md)" + COPYRIGHT_LINE, ""), OTHER, " ")
+    text = F.coalesce(text, F.lit(""))
+    listed = F.contains(text, F.lit("(b)")) | F.contains(text, F.lit("(B)"))
+    notices = F.when(listed, LISTED_NOTICE_LINE).otherwise(NOTICE_LINE)
+    plain = F.regexp_replace(F.regexp_replace(F.translate(text, UPPER, LOWER), notices, F.lit("")), BETWEEN, " ")
     return _spelled(plain, phrases=False)
 
 

@@ -58,3 +58,20 @@ def test_whole_licenses(spark):
     rows = [(i, t) for i, t in enumerate(x for v in docs.values() for x in v)]
     want = dict(enumerate(k for k, v in docs.items() for _ in v))
     assert {r.doc_id: r.license_id for r in scan(spark, rows).filter("line_no = 0").collect()} == want
+
+
+def test_headers_of_source_files_and_other_punctuation(spark):
+    mit, isc, apache = (licenses.TEXTS / "MIT.txt").read_text(), licenses.KNOWN["ISC"], (licenses.TEXTS / "Apache-2.0.txt").read_text()
+    heads = ["Copyright 2031 Some Body", "(c) 2031 Some Body", "Portions Copyright © Other Body", "All rights reserved."]
+
+    def header(first, mark, last):
+        return "\n".join([first, *(mark + x for x in [*heads, "", *mit.split("\n")]), last])
+
+    rows = [(1, mit.replace('"AS IS"', "“AS IS”").replace(" ", "\u00a0")), (2, isc.replace('"', "”").replace(",", " –")),
+            (3, header("", "# ", "")), (4, header("/*", " * ", " */")), (5, header("", "// ", "")), (6, "• " + mit + "…"),
+            (7, " ".join(isc.split()).replace("the above copyright", "the above\ncopyright")),
+            (8, " ".join(apache.split("   APPENDIX")[0].split()).replace(" (c) You", "\n(c) You").replace(" copyright license", "\ncopyright license")),
+            (9, "# Copyright holders are many"), (10, "Copyright Some Body\n// (c) you"), (11, "« » – …\u2003")]
+    got = {r.doc_id: (r.license_id, r.digest is None) for r in scan(spark, rows).filter("line_no = 0").collect()}
+    want = ["MIT", "ISC", "MIT", "MIT", "MIT", "MIT", "ISC", "Apache-2.0", None, None, None]
+    assert got == {i: (k, i > 9) for i, k in enumerate(want, 1)}
