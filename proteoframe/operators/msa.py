@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proteoframe.functions import constants as K
+from proteoframe.operators.ranking import piece_rank, top_per_key
 from proteoframe.operators.windows import position_windows, residues
 
 
@@ -143,23 +144,26 @@ def a3m_residues(text: Column) -> Column:
     return F.regexp_replace(text, "[^A-Z]+", "")
 
 
-def dedupe_homologs(hits: DataFrame, max_hits: int | None = None) -> DataFrame:
+def dedupe_homologs(hits: DataFrame, max_hits: int | None = None, ranked: bool = True) -> DataFrame:
     """First hit per distinct sequence, the leading query dropped, in hit order.
 
     Only digests travel to find the first hit of a sequence; ``max_hits`` keeps
-    the first of them if given.
+    the first of them if given. Without it ranks are counted in pieces, so that
+    no task sorts all hits of a protein; ``ranked`` False leaves ``rank`` out.
     """
     lead = hits.groupBy("pid").agg(F.min("idx").alias("_lead"))
-    body = hits.join(lead, "pid").filter(
-        ~((F.col("idx") == F.col("_lead")) & F.col("name").isin("query", "101"))
-        & (F.length("sequence") > 0)
-    ).drop("_lead")
+    # Met by hit, not by protein alone, which would deal all hits of a protein to one task.
+    lead = lead.select(F.col("pid").alias("_pid"), "_lead")
+    is_lead = ((F.col("pid") == F.col("_pid")) & (F.col("idx") == F.col("_lead"))
+               & F.coalesce(F.col("name").isin("query", "101"), F.lit(True)))
+    body = hits.filter(F.col("pid").isNotNull() & (F.length("sequence") > 0)).join(lead, is_lead, "left_anti")
     first = body.groupBy("pid", F.md5("sequence").alias("_d")).agg(F.min("idx").alias("idx"))
-    by = Window.partitionBy("pid").orderBy("idx")
-    kept = first.select("pid", "idx").withColumn("rank", F.row_number().over(by))
+    kept = first.select("pid", "idx")
     if max_hits is not None:
-        kept = kept.filter(F.col("rank") <= max_hits)
-    return body.join(kept, ["pid", "idx"]).select("pid", "rank", "idx", "name", "sequence")
+        kept = top_per_key(kept, ["pid"], ["idx"], max_hits)
+    elif ranked:
+        kept = piece_rank(kept, ["pid"], "idx")
+    return body.join(kept, ["pid", "idx"]).select("pid", *(["rank"] if ranked else []), "idx", "name", "sequence")
 
 
 def homolog_stats(kept: DataFrame, sample: int | None = None) -> DataFrame:

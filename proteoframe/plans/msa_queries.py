@@ -121,7 +121,7 @@ SELECT pid, count(*) AS num_homologs, {r6('avg(length(sequence))')} AS mean_leng
 FROM kept GROUP BY pid
 """))
 def homolog_stats(spark, d):
-    return M.homolog_stats(M.dedupe_homologs(P.source_hits(spark, d)))
+    return M.homolog_stats(M.dedupe_homologs(P.source_hits(spark, d), ranked=False))
 
 
 @query(with_(HOMOLOGS, body=f"""
@@ -133,7 +133,7 @@ FROM documents d LEFT JOIN st ON st.pid = d.source
 def homologs_attached(spark, d):
     cands = P.table(spark, d, "documents").select(
         F.col("doc_id").alias("candidate_id"), F.col("source").alias("pid"))
-    return M.attach_homologs(cands, M.homolog_stats(M.dedupe_homologs(P.source_hits(spark, d))))
+    return M.attach_homologs(cands, M.homolog_stats(M.dedupe_homologs(P.source_hits(spark, d), ranked=False)))
 
 
 @query(with_(HOMOLOGS, body="""
@@ -141,7 +141,8 @@ SELECT pid, string_agg(name, ',' ORDER BY rank) AS names, CAST(sum(length(sequen
 FROM kept WHERE rank <= 8 GROUP BY pid
 """))
 def context_homologs(spark, d):
-    return M.context_homologs(M.dedupe_homologs(P.source_hits(spark, d))).select(
+    # The context is the first eight, which every task can prune to.
+    return M.context_homologs(M.dedupe_homologs(P.source_hits(spark, d), max_hits=8)).select(
         "pid", F.array_join(F.transform("context", lambda h: h["name"]), ",").alias("names"),
         F.aggregate("context", F.lit(0), lambda a, h: a + F.length(h["sequence"])).alias("residues"))
 

@@ -175,3 +175,39 @@ def test_a_hot_protein_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_homologs_of_a_hot_source(spark, tmp_path):
+    """Queries on one source of more than 500 texts, held against plain Python; no task gets the whole source."""
+    import __spark_entry__ as entry
+    alphabet = "ACDEFGHIKLMNPQRSTVWY"
+    texts = ["".join(alphabet[(i % 2900) // 20 ** k % 20] for k in range(3)) * (i % 7 + 1) for i in range(3000)]
+    spark.createDataFrame([(3 * i, t, "hot" if i % 10 else "small") for i, t in enumerate(texts)],
+                          "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    want, seen = [], {}
+    for source in ("hot", "small"):
+        mine = [(3 * i, t) for i, t in enumerate(texts) if (i % 10 > 0) == (source == "hot")]
+        for idx, t in mine:
+            if idx >= 10 or idx != mine[0][0]:
+                if t not in seen.setdefault(source, []):
+                    seen[source].append(t)
+                    want.append((source, len(seen[source]), idx))
+    def run(name):
+        return entry.queries()[name](spark, str(tmp_path))
+    df = run("homologs_deduplicated")
+    assert sorted((r.pid, r["rank"], r.idx) for r in df.collect()) == sorted(want) and len(seen["hot"]) > 500
+    windows = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number()" in x]
+    assert windows and all("_piece" in x for x in windows)
+    lengths = {s: (len(t), sum(map(len, t)) / len(t)) for s, t in seen.items()}
+    stats = {r.pid: (r.num_homologs, r.mean_length) for r in run("homolog_stats").collect()}
+    assert {s: (n, pytest.approx(m, abs=1e-6)) for s, (n, m) in lengths.items()} == stats
+    assert {(r.pid, r.num_homologs) for r in run("homologs_attached").collect()} == {(s, n) for s, (n, _) in lengths.items()}
+    assert {r.pid: r.residues for r in run("context_homologs").collect()} == {s: sum(map(len, t[:8])) for s, t in seen.items()}
+
+
+def test_piece_rank(spark):
+    rows = [(k, i * i - 300) for k, n in (("a", 40), ("b", 3)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    got = ranking.piece_rank(df, ["k"], "v", piece_rows=4).collect()
+    assert sorted((r.k, r.v, r["rank"]) for r in got) == [(k, i * i - 300, i + 1) for k, n in (("a", 40), ("b", 3)) for i in range(n)]
+    assert ranking.piece_rank(df.filter("v is null"), ["k"], "v").count() == 0
