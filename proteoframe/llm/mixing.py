@@ -104,7 +104,8 @@ def mix(docs: DataFrame, seed: int = 42, weights: Sequence[float] = (1, 2, 3), m
         doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself, with the columns of ``docs``: whole rows repeated, plus the fractional pass.
 
-    The row at the border is cut after the words it gives. Texts are not
+    The row at the border is cut after the words it gives; with no whole
+    repetition that is its only appearance. Texts are not
     shuffled: rows meet only the one-row-per-source plan.
     """
     rows = docs.select(
