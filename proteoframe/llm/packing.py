@@ -91,7 +91,12 @@ def _useless(a: tuple, b: tuple, c: tuple) -> bool:
 
 def packed(docs: DataFrame, budget: int = BUDGET, buckets: int = BUCKETS, seed: int = 42,
            doc_id: str = "doc_id", text: str = "text", length: Column | None = None) -> DataFrame:
-    """Every row with ``n_tokens, bucket, bucket_len, batch, slot, padding``; own columns of these names go."""
+    """Every row with ``n_tokens, bucket, bucket_len, batch, slot, padding``; own columns of these names go.
+
+    ``n_tokens`` counts white-space words unless ``length`` is given, so ``budget``
+    is one of words: an unspaced text counts as one. Lengths above EXACT share
+    cells, so boundaries there are near the optimum only.
+    """
     size = word_count(F.col(text)) if length is None else length
     row = F.struct(*(c for c in docs.columns if c not in RESULT)).alias("_row")
     df = docs.select(row, size.alias("n_tokens"), seeded_key(seed, doc_id).alias("_key"))
