@@ -40,7 +40,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("near_duplicates", near_duplicates), ("mix_sources", mix_sources), ("pack", pack),
 ]
 
-#: EM, the classifier and fingerprints have no SQL form; tests hold run() against a brute-force version.
+#: EM, the classifier and fingerprints have no SQL form; tests hold run() against the operators of its stages.
 ORACLE_SQL = None
 
 
