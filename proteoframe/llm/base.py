@@ -26,10 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, **options: object) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends, lost executors cost nothing."""
     folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

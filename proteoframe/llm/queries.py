@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proteoframe.llm import (
-    chat, classifier, fixity, licenses, mixing, nearest, packing, rules, simhash, sql, wavelet)
+    chat, classifier, fixity, lexical, licenses, mixing, nearest, packing, rules, simhash, sql, wavelet)
 from proteoframe.llm.base import running_sum, store, word_count
 
 #: Pages of one archive file.
@@ -89,6 +89,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "posterior")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.ranked(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"), k=50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,7 +101,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (op1_quality_classifier, op2_mixing, op3_nearest, op4_packing, op5_license_scan, op6_fixity_audit,
-           op7_chat_format, op8_token_shards, op9_simhash, op10_quality_rules, pipeline)
+           op7_chat_format, op8_token_shards, op9_simhash, op10_quality_rules, op11_lexical_search, pipeline)
 
 
 def queries() -> dict:

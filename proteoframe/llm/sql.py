@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from proteoframe.llm.base import WORD
+from proteoframe.llm.lexical import TERM
 from proteoframe.llm.licenses import COPYRIGHT_LINE, KNOWN, LOWER, OTHER, SPELLINGS, UPPER
 
 
@@ -132,10 +133,33 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(upto) FILTER (role = 'assistant' OR i = n)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id"""
 
+LEXICAL = f"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), {_literal(TERM)})) AS term
+  FROM documents),
+f AS (SELECT r, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf FROM t GROUP BY r, term),
+d AS (SELECT r, sum(tf)::BIGINT AS n FROM f GROUP BY r),
+a AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), {_literal(TERM)})) AS term
+  FROM benchmark),
+w AS (
+  SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM f, a WHERE term IN (SELECT term FROM q) GROUP BY term, nn),
+s AS (
+  SELECT item_id, f.r, any_value(f.doc_id) AS doc_id,
+         sum(w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN d ON d.r = f.r, a
+  GROUP BY item_id, f.r)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 AND item_id IS NOT NULL QUALIFY rank <= 50"""
+
 SQL: dict[str, str] = {
     "op2_mixing": MIXING,
     "op3_nearest": NEAREST,
     "op5_license_scan": LICENSES,
     "op6_fixity_audit": FIXITY,
     "op7_chat_format": CHAT,
+    "op11_lexical_search": LEXICAL,
 }
