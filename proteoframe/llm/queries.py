@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proteoframe.llm import (
-    chat, classifier, fixity, lexical, licenses, mixing, nearest, packing, rules, simhash, sql, wavelet)
+    chat, classifier, fixity, langid, lexical, licenses, mixing, nearest, packing, prefixtrie, rules, simhash, sql, wavelet)
 from proteoframe.llm.base import running_sum, store, word_count
 
 #: Pages of one archive file.
@@ -94,6 +94,15 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"), k=50)
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefixtrie.trie(prefixtrie.with_shared_starts(prefixtrie.paths(turns)))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (op1_quality_classifier, op2_mixing, op3_nearest, op4_packing, op5_license_scan, op6_fixity_audit,
-           op7_chat_format, op8_token_shards, op9_simhash, op10_quality_rules, op11_lexical_search, pipeline)
+           op7_chat_format, op8_token_shards, op9_simhash, op10_quality_rules, op11_lexical_search,
+           op12_language_id, op13_prefix_trie, pipeline)
 
 
 def queries() -> dict:

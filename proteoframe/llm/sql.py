@@ -155,6 +155,39 @@ s AS (
 SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
 FROM s WHERE score > 0 AND item_id IS NOT NULL QUALIFY rank <= 50"""
 
+#: CRC-32 of a conversation's decimal id: each byte is mixed in and followed by eight shifts (-1).
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+TRIE = f"""
+WITH own AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS width,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS i FROM own),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS family, {_CRC32} % 6 AS h FROM own),
+r AS (
+  SELECT c.conv_id, 0 AS part, i, width, digest FROM c JOIN k ON k.conv_id = family AND i < h
+  UNION ALL SELECT c.conv_id, 1, i, width, digest FROM c JOIN k ON k.conv_id = c.conv_id AND i >= h),
+p AS (
+  SELECT conv_id, width, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT path, any_value(depth) AS depth, any_value(width) AS width, min(conv_id) AS conv_id, count(*) AS n_convs
+      FROM p GROUP BY path),
+e AS (SELECT path, string_agg(conv_id, ',' ORDER BY conv_id) AS ends
+      FROM (SELECT conv_id, max_by(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path),
+k2 AS (SELECT left(path, length(path) - 64) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k2 USING (path)),
+s AS (SELECT v.path, sum((u.n_convs - 1) * u.width) AS saved_tokens, count(*) FILTER (u.n_children = 0) AS n_leaves
+      FROM f v JOIN f u ON starts_with(u.path, v.path) GROUP BY v.path)
+SELECT f.conv_id, f.depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM f JOIN s USING (path) LEFT JOIN e USING (path)
+LEFT JOIN n up ON f.depth > 0 AND up.path = left(f.path, length(f.path) - 64)"""
+
 SQL: dict[str, str] = {
     "op2_mixing": MIXING,
     "op3_nearest": NEAREST,
@@ -162,4 +195,5 @@ SQL: dict[str, str] = {
     "op6_fixity_audit": FIXITY,
     "op7_chat_format": CHAT,
     "op11_lexical_search": LEXICAL,
+    "op13_prefix_trie": TRIE,
 }
