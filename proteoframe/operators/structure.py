@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from proteoframe.functions import constants as K
 from proteoframe.functions import text as S
+from proteoframe.functions.numeric import round_exact
 from proteoframe.operators.ranking import top_per_key
 from proteoframe.session import use_checkpoint_dir
 
@@ -66,7 +67,7 @@ def plddt(atoms: DataFrame) -> DataFrame:
     return atoms.groupBy("structure_id").agg(
         F.avg("bfactor").alias("plddt_all"), F.avg(ca).alias("plddt_ca"), F.min(ca).alias("low")
     ).select("structure_id", "plddt_all", "plddt_ca",
-             F.round("plddt_ca", 1).alias("plddt_mean"), F.round("low", 1).alias("plddt_min"))
+             round_exact("plddt_ca", 1).alias("plddt_mean"), round_exact("low", 1).alias("plddt_min"))
 
 
 # ------------------------------------------------------------------ disulfides

@@ -23,7 +23,7 @@ from proteoframe.plans.sequence_queries import CYS, FLAGS, MOTIF
 from proteoframe.plans.structure_queries import patch_members
 from proteoframe.plans.sqlbase import (
     ATOMS, BMUT, BSEQ, DOCMUT, LINES, LOGPROBS, MSA, PATCH, PROT, PSSM, PSSMMUT, RES, SASA, SEQS, SURFACE,
-    TCAND, VSEQ, r6, with_)
+    TCAND, VSEQ, exact, r6, with_)
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -53,12 +53,12 @@ def mean_loglik(spark, d):
     return MS.mean_loglik(lps.filter("model = 1"), res)
 
 
-GAINS = """
+GAINS = f"""
 gn AS (
-  SELECT a.pid, a.position, r.aa AS wt, a.aa AS mut, round(a.lp - w.lp, 4) AS gain
+  SELECT a.pid, a.position, r.aa AS wt, a.aa AS mut, {exact('a.lp - w.lp', 4)} AS gain
   FROM res r JOIN lps a ON a.pid = r.pid AND a.position = r.position AND a.model = 1
   JOIN lps w ON w.pid = r.pid AND w.position = r.position AND w.aa = r.aa AND w.model = 1
-  WHERE a.aa <> r.aa AND round(a.lp - w.lp, 4) > 0)"""
+  WHERE a.aa <> r.aa AND {exact('a.lp - w.lp', 4)} > 0)"""
 
 
 def _gains(spark, d):
@@ -278,12 +278,12 @@ ag AS (SELECT pid, count(*) FILTER (hot) / count(*) AS share, count(*) FILTER (h
 cf AS (SELECT structure_id AS pid, avg(bfactor) FILTER (atom = 'CA') AS ca_mean, min(bfactor) FILTER (atom = 'CA') AS ca_low
        FROM atoms GROUP BY structure_id),
 np AS (SELECT structure_id AS pid, count(DISTINCT patch) AS n_patches FROM mem GROUP BY structure_id)
-SELECT cnt.pid, n AS length, {r6('mw')} AS mw, {r6('round((lo + hi) / 2, 2)')} AS pi, {r6('gravy')} AS gravy,
-       {r6('round(' + charge_sql('7.4', 'cnt.') + ', 1)')} AS charge_7_4, {r6('round(ii, 2)')} AS instability_index,
-       {r6('round(ai, 1)')} AS aliphatic_index, cnt.c AS cys_count, rare AS rare_codons, pro AS proline_count,
-       CASE WHEN round(ii, 2) < 40 THEN 'Stable' ELSE 'Unstable' END AS instability_label,
-       {r6('round(coalesce(share, 0), 3)')} AS agg_score, coalesce(patches, 0) AS agg_patches,
-       {r6('round(cf.ca_mean, 1)')} AS plddt_mean, {r6('round(cf.ca_low, 1)')} AS plddt_min, coalesce(np.n_patches, 0) AS n_surface_patches
+SELECT cnt.pid, n AS length, {r6('mw')} AS mw, {r6(exact('(lo + hi) / 2', 2))} AS pi, {r6('gravy')} AS gravy,
+       {r6(exact(charge_sql('7.4', 'cnt.'), 1))} AS charge_7_4, {r6(exact('ii', 2))} AS instability_index,
+       {r6(exact('ai', 1))} AS aliphatic_index, cnt.c AS cys_count, rare AS rare_codons, pro AS proline_count,
+       CASE WHEN {exact('ii', 2)} < 40 THEN 'Stable' ELSE 'Unstable' END AS instability_label,
+       {r6(exact('coalesce(share, 0)', 3))} AS agg_score, coalesce(patches, 0) AS agg_patches,
+       {r6(exact('cf.ca_mean', 1))} AS plddt_mean, {r6(exact('cf.ca_low', 1))} AS plddt_min, coalesce(np.n_patches, 0) AS n_surface_patches
 FROM cnt JOIN inst ON inst.pid = cnt.pid JOIN bis ON bis.pid = cnt.pid AND bis.step = 100
 LEFT JOIN ag ON ag.pid = cnt.pid LEFT JOIN cf ON cf.pid = cnt.pid LEFT JOIN np ON np.pid = cnt.pid
 """).replace("WITH RECURSIVE", "WITH").replace("WITH", "WITH RECURSIVE", 1))

@@ -34,6 +34,11 @@ def r6(expr: str) -> str:
     return f"round(CAST({expr} AS DOUBLE), 6) + 0.0"
 
 
+def exact(expr: str, digits: int) -> str:
+    """Rounded by the double's exact value, as printing it does."""
+    return f"CAST(format('{{:.{digits}f}}', CAST({expr} AS DOUBLE)) AS DOUBLE)"
+
+
 def letter(index: str) -> str:
     return f"substr('{AA}', CAST(({index}) % 20 + 1 AS INT), 1)"
 
@@ -129,9 +134,7 @@ body AS (
   WHERE length(sequence) > 0 AND NOT (k = 1 AND name IN ('query', '101'))),
 uniq AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY pid, sequence ORDER BY idx) AS copy FROM body) WHERE copy = 1),
-kept AS (SELECT * FROM (
-  SELECT pid, idx, name, sequence, row_number() OVER (PARTITION BY pid ORDER BY idx) AS rank FROM uniq)
-  WHERE rank <= 500)"""
+kept AS (SELECT pid, idx, name, sequence, row_number() OVER (PARTITION BY pid ORDER BY idx) AS rank FROM uniq)"""
 
 RUN = f"""
 rv AS (

@@ -9,7 +9,7 @@ from proteoframe.operators import structure as G
 from proteoframe.plans import projections as P
 from proteoframe.plans.catalog import Catalog
 from proteoframe.plans.sqlbase import (
-    ATOMS, BURIAL, DISULFIDE, OCANDS, PATCH, RMSD, SASA, SURFACE, r6, with_)
+    ATOMS, BURIAL, DISULFIDE, OCANDS, PATCH, RMSD, SASA, SURFACE, exact, r6, with_)
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -34,8 +34,8 @@ def chain_length(spark, d):
 
 @query(with_(ATOMS, body=f"""
 SELECT structure_id, {r6('avg(bfactor)')} AS plddt_all, {r6("avg(bfactor) FILTER (atom = 'CA')")} AS plddt_ca,
-       {r6("round(avg(bfactor) FILTER (atom = 'CA'), 1)")} AS plddt_mean,
-       {r6("round(min(bfactor) FILTER (atom = 'CA'), 1)")} AS plddt_min
+       {r6(exact("avg(bfactor) FILTER (atom = 'CA')", 1))} AS plddt_mean,
+       {r6(exact("min(bfactor) FILTER (atom = 'CA')", 1))} AS plddt_min
 FROM atoms GROUP BY structure_id
 """))
 def plddt_summary(spark, d):
