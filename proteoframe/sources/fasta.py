@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proteoframe.operators import msa as M
+from proteoframe.sources import blocks
 
 SUFFIXES = (".fasta", ".fa", ".faa", ".fas")
 
@@ -20,12 +21,21 @@ def _split_record(record: Column) -> tuple[Column, Column]:
 
 
 def _records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of many small files: ``path, rec_idx, header, body``."""
-    whole = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("path"), F.split("value", r"(?m)^>").alias("parts"))
-    rows = whole.select("path", F.posexplode("parts").alias("k", "record")).filter("k > 0")
+    """One row per record: ``path, rec_idx, header, body``.
+
+    Files are split between records, however large they are. ``rec_idx`` counts from 0 in
+    each file; what stands before the first ``>`` is no record.
+    """
+    pieces = blocks.pieces(spark, path, "\n>")
+    before = blocks.sums_before(pieces, {}, _headed=F.col("value").startswith(">"))
+    numbered = pieces.join(before, ["path", "block"])
+    place = blocks.place()
+    # The first piece of a file keeps its mark, and without one it is no record.
+    rec_idx = F.when(F.col("_headed"), place).otherwise(place - 1).cast("int")
+    record = F.when(place == 0, F.substring("value", 2, 2 ** 31 - 1)).otherwise(F.col("value"))
+    rows = numbered.select("path", rec_idx.alias("rec_idx"), record.alias("record")).filter("rec_idx >= 0")
     header, body = _split_record(F.col("record"))
-    return rows.select("path", (F.col("k") - 1).alias("rec_idx"), header.alias("header"), body.alias("body"))
+    return rows.select("path", "rec_idx", header.alias("header"), body.alias("body"))
 
 
 def _residues(body: Column) -> Column:
@@ -37,15 +47,14 @@ def _first_word(header: Column) -> Column:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """Small files: ``path, rec_idx, name, sequence``; record 0 is the wild type."""
+    """Files of any size: ``path, rec_idx, name, sequence``; record 0 is the wild type."""
     return _records(spark, path).select(
         "path", "rec_idx", _first_word(F.col("header")).alias("name"), _residues(F.col("body")).alias("sequence"))
 
 
 def read_large_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """One huge file, split between records: ``path, name, sequence`` (no order)."""
-    rows = spark.read.option("lineSep", "\n>").text(path).select(
-        F.input_file_name().alias("path"), F.regexp_replace("value", "^>", "").alias("record"))
+    """As :func:`read_fasta` without numbers, so without the scan that counts: ``path, name, sequence``."""
+    rows = blocks.pieces(spark, path, "\n>").select("path", F.regexp_replace("value", "^>", "").alias("record"))
     header, body = _split_record(F.col("record"))
     return rows.filter(F.length(F.trim("record")) > 0).select(
         "path", _first_word(header).alias("name"), _residues(body).alias("sequence"))
@@ -53,8 +62,11 @@ def read_large_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def empty_files(spark: SparkSession, path: str) -> DataFrame:
     """Files without any record: an error for a caller that needs a wild type."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.filter(~F.col("value").rlike(r"(?m)^>")).select(F.input_file_name().alias("path"))
+    lines = spark.read.text(path)
+    # Scans skip files of no bytes; the listing that the scan is planned with has them.
+    files = spark.createDataFrame([(f,) for f in lines.inputFiles()], "path string")
+    held = lines.filter(F.col("value").startswith(">")).select(F.input_file_name().alias("path"))
+    return files.join(held.distinct(), "path", "left_anti")
 
 
 def fasta_to_candidates(df: DataFrame) -> DataFrame:
@@ -127,7 +139,7 @@ def load_candidates(spark: SparkSession, path: str) -> DataFrame:
         return results.read_step_results(spark, path)
     if suffix in SUFFIXES:
         return fasta_to_candidates(read_fasta(spark, path))
-    looks_like_json = not spark.read.text(path, wholetext=True).filter(F.col("value").rlike(r"^\s*\{")).isEmpty()
-    if looks_like_json:
+    start = spark.read.text(path).filter(F.trim("value") != "").first()
+    if start is not None and start["value"].lstrip().startswith("{"):
         return results.read_step_results(spark, path)
     return fasta_to_candidates(read_fasta(spark, path))
