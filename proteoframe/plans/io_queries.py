@@ -221,6 +221,9 @@ _ATOM_SQL = with_(ATOMS, body="""
 , pl AS (SELECT *, dense_rank() OVER (PARTITION BY structure_id ORDER BY position) AS place FROM atoms)
 SELECT structure_id, place AS position, het, aa, atom, element, round(x, 3) + 0.0 AS x, round(bfactor, 2) + 0.0 AS bfactor FROM pl
 """)
+_BAD_SQL = with_(ATOMS, body="""
+SELECT structure_id, '{}' AS reason, 1 AS n FROM atoms GROUP BY structure_id
+""")
 
 
 def _named(spark, d):
@@ -229,48 +232,79 @@ def _named(spark, d):
         "group", F.when(F.col("het"), "HETATM").otherwise("ATOM"))
 
 
-def _file_per_structure(rows, path, head=""):
-    """All lines of one structure in order; a structure is a bounded text."""
-    text = F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.struct("position", "n", "line"))), lambda r: r["line"]), "\n")
-    rows.groupBy("structure_id").agg(F.concat(F.lit(head), text).alias("value")).select(
-        F.col("structure_id").alias("file"), "value").write.partitionBy("file").text(path)
+_ORDER = {"N": 1, "CA": 2, "C": 3, "CB": 4}
 
 
-_ORDER = {"N": 1, "CA": 2, "C": 3, "CB": 4}
+def _structures(rows, path, head, foot):
+    """All structures one after another in a few files; each is a bounded text."""
+    text = F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("position", "n", "line"))), lambda r: r["line"]), "\n")
+    whole = rows.groupBy("structure_id").agg(text.alias("text"))
+    whole.select(F.concat(head, F.lit("\n"), "text", F.lit("\n"), foot).alias("value")).write.text(path)
 
 
-@query(_ATOM_SQL)
-def pdb_round_trip(spark, d):
-    path = scratch(spark)
+def _write_pdb(spark, d, path):
+    """Each structure ends in an atom whose coordinates cannot be read."""
+    start = F.concat(F.rpad("group", 6, " "), F.lpad(F.col("n").cast("string"), 5, " "), F.lit("  "), F.rpad("atom", 3, " "), F.lit(" "),
+                     F.col("resname"), F.lit(" A"), F.lpad(F.col("position").cast("string"), 4, " "), F.lit("    "))
     line = F.concat(
-        F.rpad("group", 6, " "), F.lpad(F.col("n").cast("string"), 5, " "), F.lit("  "), F.rpad("atom", 3, " "), F.lit(" "),
-        F.col("resname"), F.lit(" A"), F.lpad(F.col("position").cast("string"), 4, " "), F.lit("    "),
-        *[F.lpad(F.format_string("%.3f", F.round(c, 3)), 8, " ") for c in ("x", "y", "z")], F.lit("  1.00"),
+        start, *[F.lpad(F.format_string("%.3f", F.round(c, 3)), 8, " ") for c in ("x", "y", "z")], F.lit("  1.00"),
         F.lpad(F.format_string("%.2f", F.round("bfactor", 2)), 6, " "), F.lit(" " * 10), F.lpad("element", 2, " "))
     rows = _named(spark, d).withColumn("n", S.lookup(F.col("atom"), _ORDER)).withColumn("line", line)
-    _file_per_structure(rows, path)
-    return _read_back(structures.read_pdb_atoms(spark, f"{path}/*/*.txt"))
+    _structures(rows, path, F.concat(F.lit("HEADER" + " " * 56), F.col("structure_id").cast("string")),
+                F.lit("ATOM      9  CB  ALA A   1      ******** broken\nEND"))
 
 
-@query(_ATOM_SQL)
-def cif_round_trip(spark, d):
-    path = scratch(spark)
+def _write_cif(spark, d, path):
+    """Each structure ends in a row that is too short for its header."""
     fields = ("group_PDB", "id", "type_symbol", "label_atom_id", "label_comp_id", "label_asym_id", "label_seq_id",
               "Cartn_x", "Cartn_y", "Cartn_z", "B_iso_or_equiv", "pdbx_PDB_model_num")
-    head = "data_x\nloop_\n" + "\n".join(f"_atom_site.{f}" for f in fields) + "\n"
     line = F.concat_ws(
         " ", "group", F.col("n").cast("string"), "element", "atom", "resname", F.lit("A"), F.col("position").cast("string"),
         *[F.format_string("%.3f", F.round(c, 3)) for c in ("x", "y", "z")], F.format_string("%.2f", F.round("bfactor", 2)), F.lit("1"))
     rows = _named(spark, d).withColumn("n", S.lookup(F.col("atom"), _ORDER)).withColumn("line", line)
-    _file_per_structure(rows, path, head)
-    return _read_back(structures.read_cif_atoms(spark, f"{path}/*/*.txt"))
+    _structures(rows, path, F.concat(F.lit("data_"), F.col("structure_id").cast("string"), F.lit(
+        "\nloop_\n" + "\n".join(f"_atom_site.{f}" for f in fields))), F.lit("ATOM 9 C CB\n#"))
+
+
+@query(_ATOM_SQL)
+def pdb_round_trip(spark, d):
+    path = scratch(spark)
+    _write_pdb(spark, d, path)
+    return _read_back(structures.read_pdb_atoms(spark, path))
+
+
+@query(_ATOM_SQL)
+def cif_round_trip(spark, d):
+    path = scratch(spark)
+    _write_cif(spark, d, path)
+    return _read_back(structures.read_cif_atoms(spark, path))
+
+
+def _warned(warnings, atoms):
+    names = atoms.select("structure_id", "label").distinct()
+    return warnings.join(names, "structure_id").groupBy(
+        F.col("label").cast("bigint").alias("structure_id"), "reason").agg(F.count("*").alias("n"))
+
+
+@query(_BAD_SQL.format(structures.UNPLACED))
+def pdb_warnings(spark, d):
+    """Atom lines that cannot be read, by structure."""
+    path = scratch(spark)
+    _write_pdb(spark, d, path)
+    return _warned(structures.pdb_warnings(spark, path), structures.read_pdb_atoms(spark, path))
+
+
+@query(_BAD_SQL.format("values do not fit the column names"))
+def cif_warnings(spark, d):
+    """Atom rows that do not fit their header, by structure."""
+    path = scratch(spark)
+    _write_cif(spark, d, path)
+    return _warned(structures.cif_warnings(spark, path), structures.read_cif_atoms(spark, path))
 
 
 def _read_back(atoms):
-    return atoms.select(
-        F.regexp_extract("structure_id", r"file=(\d+)", 1).cast("bigint").alias("structure_id"), "position", "het", "aa",
-        "atom", "element", "x", "bfactor")
+    return atoms.select(F.col("label").cast("bigint").alias("structure_id"), "position", "het", "aa", "atom", "element", "x", "bfactor")
 
 
 @query(with_(OSCORES, body=f"SELECT score_key, count(*) AS n, {r6('avg(value)')} AS mean FROM os GROUP BY score_key"))

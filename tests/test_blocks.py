@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from proteoframe.sources import blocks, fasta
+from proteoframe.sources import blocks, fasta, structures
 
 
 @pytest.fixture
@@ -76,3 +76,42 @@ def test_running_counts_over_blocks_and_files(spark, tmp_path, small_blocks):
     rows = blocks.running_counts(blocks.pieces(spark, str(tmp_path / "*.txt")), {
         "low": F.col("value").startswith("mark"), "high": F.col("value").startswith("MARK")})
     assert sorted((r.path.rsplit("/", 1)[1], r.line_no, r.value, r.low, r.high) for r in rows.collect()) == sorted(want)
+
+
+def pdb(code, models, residues, head=True, end=True):
+    out = [f"HEADER    LYASE                                   01-JAN-20   {code}"] if head else []
+    for m in range(max(1, models)):
+        out += [f"MODEL     {m + 1:4d}"] if models else []
+        for i in range(residues):
+            out.append(f"ATOM  {i + 1:5d}  CA  GLY A{i + 5:4d}    {m + i:8.3f}{1.0:8.3f}{2.0:8.3f}  1.00 50.00           C")
+        out += ["ATOM      9  CA  GLY A   1      ********   1.000   2.000  1.00 50.00           C"] if models == 2 else []
+        out += ["ENDMDL"] if models else []
+    return "\n".join(out + ["END"] * end) + "\n"
+
+
+@pytest.mark.parametrize("head,end", [(True, True), (True, False), (False, True)])
+def test_many_structures_share_a_file(spark, tmp_path, small_blocks, head, end):
+    shapes = [(f"{i:04d}", i % 3, 1 + i % 5) for i in range(60)]
+    (tmp_path / "all.pdb").write_text("".join(pdb(*s, head=head, end=end) for s in shapes))
+    atoms = structures.read_pdb_atoms(spark, str(tmp_path / "all.pdb")).collect()
+    got = {}
+    for a in atoms:
+        number = int(a.structure_id.partition("#")[2] or 0)
+        got.setdefault((number, a.label, a.model), []).append((a.position, a.x))
+    assert {k: sorted(v) for k, v in got.items()} == {
+        (n, code if head else None, min(models, 1)): [(i + 1, float(i)) for i in range(size)]
+        for n, (code, models, size) in enumerate(shapes)}
+    assert structures.pdb_warnings(spark, str(tmp_path / "all.pdb")).count() == 2 * sum(m == 2 for _, m, _ in shapes)
+
+
+def test_cif_blocks_with_their_own_headers(spark, tmp_path, small_blocks):
+    one = "data_{0}\nloop_\n_atom_site.group_PDB\n_atom_site.label_atom_id\n_atom_site.label_comp_id\n_atom_site.label_asym_id\n_atom_site.label_seq_id\n_atom_site.Cartn_x\n_atom_site.Cartn_y\n_atom_site.Cartn_z\nATOM \"C A\" GLY A 7 {1}.5 1 2\nATOM 'O5'' ALA A 8 1 1 2\nATOM CA GLY A 9 1\nHETATM CA GLY A 10 x 1 2\n#\n"
+    two = "data_{0}\nloop_\n_atom_site.Cartn_z\n_atom_site.Cartn_y\n_atom_site.Cartn_x\n_atom_site.label_seq_id\n_atom_site.auth_asym_id\n_atom_site.label_comp_id\n_atom_site.label_atom_id\n_atom_site.group_PDB\n"
+    # An atom row begins with its group: the second header puts it last, so its rows are none.
+    (tmp_path / "all.cif").write_text("".join((one if i % 2 == 0 else two).format(f"n{i}", i) for i in range(40)))
+    atoms = structures.read_cif_atoms(spark, str(tmp_path / "all.cif")).collect()
+    assert sorted((a.label, a.position, a.atom, a.aa, a.x) for a in atoms) == sorted(
+        row for i in range(0, 40, 2) for row in ((f"n{i}", 1, "C A", "G", i + 0.5), (f"n{i}", 2, "O5'", "A", 1.0)))
+    warned = structures.cif_warnings(spark, str(tmp_path / "all.cif")).collect()
+    assert sorted({(w.reason, w.line.split()[0]) for w in warned}) == [
+        (structures.UNPLACED, "HETATM"), ("values do not fit the column names", "ATOM")] and len(warned) == 40
