@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from proteoframe.functions import constants as K
-from proteoframe.operators.ranking import piece_rank, top_per_key
+from proteoframe.operators.ranking import full_rank, top_per_key
 from proteoframe.operators.windows import position_windows, residues
 
 
@@ -148,8 +148,7 @@ def dedupe_homologs(hits: DataFrame, max_hits: int | None = None, ranked: bool =
     """First hit per distinct sequence, the leading query dropped, in hit order.
 
     Only digests travel to find the first hit of a sequence; ``max_hits`` keeps
-    the first of them if given. Without it ranks are counted in pieces, so that
-    no task sorts all hits of a protein; ``ranked`` False leaves ``rank`` out.
+    the first of them if given. Without it a protein's hits are ranked by many tasks; ``ranked`` False leaves ``rank`` out.
     """
     lead = hits.groupBy("pid").agg(F.min("idx").alias("_lead"))
     # Met by hit, not by protein alone, which would deal all hits of a protein to one task.
@@ -162,7 +161,7 @@ def dedupe_homologs(hits: DataFrame, max_hits: int | None = None, ranked: bool =
     if max_hits is not None:
         kept = top_per_key(kept, ["pid"], ["idx"], max_hits)
     elif ranked:
-        kept = piece_rank(kept, ["pid"], "idx")
+        kept = full_rank(kept, ["pid"], "idx", "idx", descending=False).withColumn("rank", F.col("rank").cast("int"))
     return body.join(kept, ["pid", "idx"]).select("pid", *(["rank"] if ranked else []), "idx", "name", "sequence")
 
 

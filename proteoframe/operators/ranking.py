@@ -2,79 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from proteoframe.session import use_checkpoint_dir
+from proteoframe.session import stored
 
 
-def full_rank(df: DataFrame, keys: list[str], value: str, tie: str, descending: bool = True,
-              piece_rows: int = 100_000) -> DataFrame:
-    """Add ``rank``: 1, 2, ... per key by ``value`` (nulls last), then by ``tie``.
-
-    One window over a key would sort the whole key in one task, and a single
-    key may hold a third of all rows. Instead the value range is cut at its
-    quantiles: rows between two cuts and rows equal to a cut are groups of
-    their own, the latter cut again by the tie column, and a row's rank is the
-    size of all better groups plus its place inside its own. The cuts are two
-    quantile arrays, one cut for every ``piece_rows`` rows; they only steer the
-    balance, never the result. The input is read three times, so it is
-    checkpointed once.
-    """
-    use_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()
-    pieces = max(2, -(-df.count() // piece_rows))
-    probs = [i / pieces for i in range(1, pieces)]
-
-    def quantiles(name: str):
-        return F.array_distinct(F.percentile_approx(F.col(name), probs, 10000)).alias(name)
-
-    cuts = df.agg(F.struct(quantiles(value), quantiles(tie)).alias("c")).scalar()
-    sign = -1 if descending else 1
-    cut = df.withColumn("_c", cuts).select(
-        "*", F.col("_c")[value].alias("_cuts"), F.col("_c")[tie].alias("_tcuts")
-    ).drop("_c")
-    below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    equal = F.array_contains("_cuts", F.col(value))
-    group = sign * (2 * below + F.when(equal, 1).otherwise(0))
-    grouped = (
-        cut.withColumn("_g", F.when(F.col(value).isNull(), F.lit(2**30)).otherwise(group))
-        .withColumn("_t", F.when(
-            F.col(value).isNull() | equal,
-            F.size(F.filter("_tcuts", lambda c: c < F.col(tie)))).otherwise(0))
-        .drop("_cuts", "_tcuts")
-    )
-    parts = [*keys, "_g", "_t"]
-    before = Window.partitionBy(*keys).orderBy("_g", "_t").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = grouped.groupBy(*parts).agg(F.count("*").alias("_n")).select(
-        *parts, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead")
-    )
-    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
-    place = F.row_number().over(Window.partitionBy(*parts).orderBy(order, tie))
-    return grouped.join(sizes, parts).withColumn("rank", F.col("_ahead") + place).drop(
-        "_g", "_t", "_ahead"
-    )
+def dealt_by_range(df: DataFrame, by: list[Column]) -> DataFrame:
+    """``df`` in the order ``by`` over tasks and inside them, stored, with ``_task`` and the running number ``_at``."""
+    return stored(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({
+        "_task": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
 
 
-def piece_rank(df: DataFrame, keys: list[str], order: str, piece_rows: int = 2_000) -> DataFrame:
-    """Add ``rank``: 1, 2, ... per key by an integer column that is distinct inside a key.
+def full_rank(df: DataFrame, keys: list[str], value: str, tie: str, descending: bool = True) -> DataFrame:
+    """Add ``rank``: 1, 2, ... per key by ``value`` (nulls last), then by ``tie``; a null key is a key.
 
-    The range of ``order`` is cut into pieces of equal width, about
-    ``piece_rows`` rows of the whole table each, so that a hot key is sorted by
-    many tasks: a row's rank is the size of the earlier pieces of its key plus
-    its place inside its own. ``keys`` hold no null.
+    One window over a key would sort the whole key in one task, and a single
+    key may hold a third of all rows. Instead all rows are dealt by ranges of (key,
+    value, tie), whose bounds Spark samples, and sorted in their task. A task then holds a
+    stretch of a key's order: its rows are numbered along the task, and what the
+    earlier tasks hold of the key, one count for each task, is added. Which bounds were drawn
+    decides the balance, never the result; the dealt rows are stored, so they are
+    drawn once.
     """
-    span = F.max(order).cast("double") - F.min(order) + 1
-    width = df.agg(F.greatest(F.ceil(span * piece_rows / F.count("*")), F.lit(1)).cast("long").alias("w")).scalar()
-    cut = df.withColumn("_w", width).withColumn("_piece", F.expr(f"{order} div _w")).drop("_w")
-    parts = [*keys, "_piece"]
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = cut.groupBy(*parts).agg(F.count("*").alias("_n")).select(
-        *parts, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
-    place = F.row_number().over(Window.partitionBy(*parts).orderBy(order))
-    # Dealt by piece again: by key alone, as their window left them, the rows would follow in the join.
-    sizes = sizes.repartition(*[F.col(c) for c in parts])
-    return cut.join(sizes, parts).withColumn("rank", (F.col("_ahead") + place).cast("int")).drop("_piece", "_ahead")
+    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
+    by = [*(F.asc_nulls_first(k) for k in keys), order, F.asc_nulls_first(tie)]
+    dealt = dealt_by_range(df, by)
+    earlier = Window.partitionBy(*keys).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per task and key; its size is known once it is stored.
+    ahead = stored(dealt.groupBy(*keys, "_task").agg(F.min("_at").alias("_start"), F.count("*").alias("_n")).select(
+        *(F.col(k).alias(f"_{i}") for i, k in enumerate(keys)), F.col("_task").alias("_of"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_start") + 1).alias("_ahead")))
+    same = F.col("_task") == F.col("_of")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_{i}"))
+    return dealt.join(ahead, same).withColumn("rank", F.col("_at") + F.col("_ahead")).select(*df.columns, "rank")
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:

@@ -79,6 +79,11 @@ def popular_score_keys(variants: DataFrame, top: int = 200, n_keys: int = 6,
                        skip: tuple[str, ...] = K.LIBRARY_SKIP_KEYS, by: tuple[str, ...] = ("pid",)) -> DataFrame:
     """Most frequent score keys among the best ``top`` variants of each protein (or other group)."""
     best = top_per_key(variants, [*by], [F.desc_nulls_last("composite_score"), "seq_no"], top)
+    return _frequent_keys(best, n_keys, skip, by)
+
+
+def _frequent_keys(best: DataFrame, n_keys: int = 6, skip: tuple[str, ...] = K.LIBRARY_SKIP_KEYS,
+                   by: tuple[str, ...] = ("pid",)) -> DataFrame:
     keys = best.select(*by, F.explode(F.map_keys("scores")).alias("score_key"))
     per = keys.filter(~F.col("score_key").isin(*skip)).groupBy(*by, "score_key").agg(F.count("*").alias("n"))
     return top_per_key(per, [*by], [F.desc("n"), "score_key"], n_keys)
@@ -210,7 +215,7 @@ def top_recommendations(variants: DataFrame, n: int = 20) -> DataFrame:
 def variant_library(variants: DataFrame) -> DataFrame:
     """Every variant with its rank inside the protein and its values under the popular keys."""
     ranked = full_rank(variants, ["pid"], "composite_score", "seq_no")
-    return with_shown_scores(ranked, popular_score_keys(variants))
+    return with_shown_scores(ranked, _frequent_keys(ranked.filter(F.col("rank") <= 200)))
 
 
 def executive_summary(variants: DataFrame) -> DataFrame:

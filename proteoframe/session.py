@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,15 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table next to the checkpoints: computed once, of known size, safe when executors are lost."""
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal a scan over as many partitions as the session asks for.
 

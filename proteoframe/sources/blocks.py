@@ -10,7 +10,6 @@ shuffled, sorted or held as one value.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,15 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from proteoframe.session import use_checkpoint_dir
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    use_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/blocks-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+from proteoframe.session import stored
 
 
 def pieces(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
@@ -56,7 +47,7 @@ def sums_before(rows: DataFrame, sums: dict[str, Column], **firsts: Column) -> D
     order = Window.partitionBy("path").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     names = ["_n", *(f"_{k}" for k in sums)]
-    return _stored(blocks.select(
+    return stored(blocks.select(
         "path", "block", "_first", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in names],
         *[F.first(k).over(order).alias(k) for k in heads]))
 

@@ -33,7 +33,7 @@ def test_full_rank_of_a_hot_key(spark):
     rng = random.Random(3)
     data = [(1 if i % 3 else 2, i, rng.choice([None, 0.5, 0.5, rng.random()])) for i in range(400)]
     df = spark.createDataFrame(data, "k long, id long, v double")
-    got = {r["id"]: r["rank"] for r in full_rank(df, ["k"], "v", "id", piece_rows=100).collect()}
+    got = {r["id"]: r["rank"] for r in full_rank(df, ["k"], "v", "id").collect()}
     for k in (1, 2):
         part = sorted((d for d in data if d[0] == k), key=lambda d: (d[2] is None, -(d[2] or 0), d[1]))
         assert [got[d[1]] for d in part] == list(range(1, len(part) + 1))
