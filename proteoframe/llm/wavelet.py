@@ -34,11 +34,13 @@ from proteoframe.llm.base import running_sum, small_batches, store
 #: Ids of a shard: documents are added until it has as many.
 SHARD_IDS = 1 << 22
 BLOCK_BITS = 1 << 16
-#: Words, and letter runs, of a generation of the ids that a Python worker remembers.
-CACHE_WORDS, CACHE_RUNS = 300_000, 700_000
+#: Words of a generation of the ids that a Python worker remembers.
+CACHE_WORDS = 700_000
 #: Plain words: letters below LATIN_END but for DOTTED (lower case adds an accent to it), then some of MARKS.
 #: TOGETHER of their letter runs are encoded in one text.
-MARKS, LATIN_END, DOTTED, TOGETHER = ".,!?;:", "\u0250", "\u0130", 250
+MARKS, LATIN_END, DOTTED, TOGETHER = ".,!?;:", "\u0280", "\u0130", 250
+#: Bytes of UTF-8 texts whose letters all lie below LATIN_END.
+LATIN_BYTES = bytes(range(0xCA))
 _HEAD = struct.Struct("<4sBIQ")
 _RAW = b"\x00"
 
@@ -59,15 +61,15 @@ def write_shard(ids: np.ndarray, starts: np.ndarray, docs: list[int | None], pla
     sections = [_pack(known.tobytes()), _pack(null.tobytes()), _pack(np.asarray(starts, dtype="<u8").tobytes())]
     now = ids
     for p in range(planes - 1, -1, -1):
-        ones = (now & now.dtype.type(1 << p)) != 0
-        packed = np.packbits(ones, bitorder="little").tobytes()
+        ones = ((now >> now.dtype.type(p)) & now.dtype.type(1)).astype(bool)
+        packed = np.packbits(ones, bitorder="little")
         step = BLOCK_BITS // 8
-        blocks = [_pack(packed[i:i + step]) for i in range(0, len(packed), step)]
-        counts = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK_BITS), dtype=np.int64) if len(ones) else np.zeros(0)
+        blocks = [_pack(packed[i:i + step].tobytes()) for i in range(0, len(packed), step)]
+        counts = np.array([np.bitwise_count(packed[i:i + step]).sum(dtype=np.int64) for i in range(0, len(packed), step)], dtype=np.int64)
         table = np.stack([np.cumsum([len(b) for b in blocks]), np.cumsum(counts) - counts]) if blocks else np.zeros((2, 0))
         sections.append(struct.pack("<QQ", len(ones) - int(counts.sum()), len(blocks))
                         + table.astype("<u8").tobytes() + b"".join(blocks))
-        now = np.concatenate([np.compress(~ones, now), np.compress(ones, now)])
+        now = np.concatenate([now[~ones], now[ones]])
     lengths = struct.pack(f"<{len(sections)}Q", *map(len, sections))
     return _HEAD.pack(b"WVM1", planes, len(docs), len(ids)) + lengths + b"".join(sections)
 
@@ -172,64 +174,83 @@ class Shard:
         return now
 
 
-class Generations(dict):
-    """A dict of bounded size: when it is full it becomes the old generation, and what is asked for
+class Generations:
+    """A table of bounded size: when it is full it becomes the old generation, and what is asked for
     again comes back from there, so frequent keys stay."""
 
     def __init__(self, size: int) -> None:
-        super().__init__()
-        self.size, self.old = size, {}
+        # Plain dicts: a set is compared with them without a walk over all their keys.
+        self.size, self.now, self.old = size, {}, {}
+
+    def __getitem__(self, key: bytes) -> bytes:
+        return self.now[key]
+
+    def __len__(self) -> int:
+        return len(self.now)
 
     def missing(self, keys: set) -> list:
-        """Keys that neither generation has."""
-        if len(self) > self.size:
-            self.old = dict(self)
-            self.clear()
-        new = []
-        for key in keys.difference(self):
-            known = self.old.get(key)
+        """Keys that neither generation has; the others are in ``now`` afterwards."""
+        if len(self.now) > self.size:
+            self.old, self.now = self.now, {}
+        new, now, old = [], self.now, self.old
+        for key in keys.difference(now):
+            known = old.get(key)
             if known is None:
                 new.append(key)
             else:
-                self[key] = known
+                now[key] = known
         return new
 
 
+def words_of(text: str | None) -> list[bytes]:
+    """What stands between ASCII white space, where the tokenizer splits too.
+
+    It folds case as well, so texts of plain letters are folded here, at once and before words are told apart.
+    """
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    if not raw.translate(None, LATIN_BYTES) and DOTTED.encode() not in raw:
+        raw = text.lower().encode("utf-8", "surrogatepass") if text else raw
+    return raw.split()
+
+
 class WordIds(Generations):
-    """Ids of words as bytes. A word is what stands between ASCII white space, where the tokenizer splits too.
+    """Ids of words as bytes, remembered from text to text.
 
     A plain word is a run of letters with a few marks behind; the tokenizer folds
     case and treats both runs alone. With ``ends``, which says of every id
     whether it ends a run, the letter runs of plain words are encoded many at a
-    time, once for all spellings, and cut apart afterwards.
+    time, once for all marks behind them, and cut apart afterwards.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], dtype: str, ends: np.ndarray | None = None,
                  encode_runs: Callable[[list[str]], list[list[int]]] | None = None) -> None:
         super().__init__(CACHE_WORDS)
         self.encode, self.dtype, self.ends, self.encode_runs = encode, dtype, ends, encode_runs or encode
-        self.runs, self.marks = Generations(CACHE_RUNS), {"": b""}
+        self.marks = {"": b""}
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        plain, others = [], []
-        for word in self.missing(set().union(*texts)):
+        runs, marked, others = set(), [], []
+        missing, now = self.missing(set().union(*texts)), self.now
+        for word in missing:
             text = word.decode("utf-8", "surrogatepass")
             letters = text.rstrip(MARKS) if self.ends is not None else ""
-            marks = text[len(letters):]
-            if len(marks) <= 2 and letters.isalpha() and (
+            if letters.isalpha() and len(text) - len(letters) <= 2 and (
                     letters.isascii() or max(letters) < LATIN_END and DOTTED not in letters):
-                plain.append((word, letters.lower(), marks))
+                low = letters.lower()
+                runs.add(low)
+                if low != text:
+                    marked.append((word, low, text[len(letters):]))
             else:
                 others.append((word, text))
-        new = self.runs.missing({r for _, r, _ in plain})
+        new = [run for run in runs if run.encode() not in now]
         for k in range(0, len(new), TOGETHER * 64):
             self._together(new[k:k + TOGETHER * 64])
-        for marks in {m for _, _, m in plain}.difference(self.marks):
+        for marks in {m for _, _, m in marked}.difference(self.marks):
             self.marks[marks] = self._bytes(self.encode([marks])[0])
-        for word, run, marks in plain:
-            self[word] = self.runs[run] + self.marks[marks]
+        for word, run, marks in marked:
+            now[word] = now[run.encode()] + self.marks[marks]
         for (word, _), ids in zip(others, self.encode([t for _, t in others])):
-            self[word] = self._bytes(ids)
+            now[word] = self._bytes(ids)
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -240,11 +261,11 @@ class WordIds(Generations):
             part, ids = runs[k:k + TOGETHER], np.array(ids, dtype=self.dtype)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(part):  # the tokenizer sees other runs: ask it for each
-                self.runs.update((run, self._bytes(own)) for run, own in zip(part, self.encode(part)))
+                self.now.update((run.encode(), self._bytes(own)) for run, own in zip(part, self.encode(part)))
                 continue
             raw, start = ids.tobytes(), 0
             for run, end in zip(part, (ends * ids.itemsize).tolist()):
-                self.runs[run] = raw[start:end]
+                self.now[run.encode()] = raw[start:end]
                 start = end
 
 
@@ -306,11 +327,11 @@ def shards(docs: DataFrame, tokenizer_file: str, end_id: int = 2, planes: int =
                 "shard": pa.array([data], pa.binary())})
 
         for batch in batches:
-            split = [(t or "").encode("utf-8", "surrogatepass").split() for t in batch.column("text").to_pylist()]
+            split = list(map(words_of, batch.column("text").to_pylist()))
             words.learn(split)
             for name, found in zip(batch.column("doc_id").to_pylist(), split):
                 names.append(name)
-                texts.append(b"".join(map(words.__getitem__, found)) + end)
+                texts.append(b"".join(map(words.now.__getitem__, found)) + end)
                 size += len(texts[-1]) // width
                 if size >= shard_ids:
                     yield shard()
