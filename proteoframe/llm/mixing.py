@@ -104,27 +104,20 @@ def mix(docs: DataFrame, seed: int = 42, weights: Sequence[float] = (1, 2, 3), m
         doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself, with the columns of ``docs``: whole rows repeated, plus the fractional pass.
 
-    The row at the border is cut after the words it gives; with no whole
-    repetition that is its only appearance. Texts are not
-    shuffled: rows meet only the one-row-per-source plan.
+    Texts stay whole: the row at the border is taken once more if at least half of
+    it belongs to the pass and left out otherwise, so a source comes as near to its target
+    as whole rows can. Rows of one id are told apart by their text; rows equal in
+    both share the border. Texts are not shuffled: rows meet only the
+    one-row-per-source plan.
     """
+    key = F.concat(seeded_key(seed, doc_id), F.hex(F.xxhash64(text)))
     rows = docs.select(
-        F.struct("*").alias("_row"), F.col(text).alias("_text"), F.col(source).alias("source"),
-        named(F.col(source)).alias("_source"), seeded_key(seed, doc_id).alias("_key"),
-        word_count(F.col(text)).alias("_size"))
-    sized = store(rows.drop("_row", "_text"))
+        F.struct("*").alias("_row"), F.col(source).alias("source"), named(F.col(source)).alias("_source"),
+        key.alias("_key"), word_count(F.col(text)).alias("_size"))
+    sized = store(rows.drop("_row"))
     want = store(plan(sized, seed, weights, max_epochs).drop("source"))
     share = rows.join(want, "_source").withColumn("_part", _fraction())
-    copies = F.col("whole") + (F.col("_part") >= F.col("_size")).cast("long") * (F.col("_size") > 0).cast("long")
-    cut = (F.col("_part") > 0) & (F.col("_part") < F.col("_size"))
-    uncut = F.transform(F.sequence(F.lit(1), F.greatest(copies, F.lit(1))), lambda _: F.lit(False))
-    passes = F.concat(F.when(copies > 0, uncut).otherwise(F.array().cast("array<boolean>")),
-                      F.when(cut, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    each = share.withColumn("_cut", F.explode(passes))
-    # Words with the white space after them; white space before the first word is a piece as well.
-    pieces = F.split("_text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    first = F.when(F.col("_text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
-    head = F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), (F.col("_part") + first).cast("int")), ""),
-                            r"[\x20\x09-\x0D]+$", "")
-    row = F.col("_row").withField(text, F.when(F.col("_cut"), head).otherwise(F.col("_text")))
-    return each.select(row.alias("_row")).select("_row.*")
+    once_more = (F.col("_part") > 0) & (2 * F.col("_part") >= F.col("_size"))
+    copies = (F.col("whole") + once_more.cast("long")) * (F.col("_size") > 0).cast("long")
+    each = share.withColumn("_copies", copies.cast("int")).filter("_copies > 0")
+    return each.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select("_row.*")

@@ -71,28 +71,28 @@ def test_the_fractional_pass_follows_the_key_order(docs):
             left -= part
 
 
-def test_mix_repeats_and_cuts_rows(docs):
+def test_mix_repeats_whole_rows(docs):
     df = docs([r for r in ROWS if r[0] != 7]).withColumn("whole", F.lit("clash"))
-    want = {}
-    for r in mixing.mixed(df).collect():
-        want[r.doc_id] = r.taken
-    got = {}
+    want = {r.doc_id: r for r in mixing.mixed(df).collect()}
     out = mixing.mix(df)
     assert out.columns == df.columns
-    texts = {r[0]: r[1] for r in ROWS}
+    texts, got = {r[0]: r[1] for r in ROWS}, {}
     for r in out.collect():
-        got[r.doc_id] = got.get(r.doc_id, 0) + len(WORD.findall(r.text or ""))
-        assert (texts[r.doc_id] or "").startswith(r.text or "")
-    assert got == {k: v for k, v in want.items() if k in got} and all(v == 0 for k, v in want.items() if k not in got)
-
-
-def test_white_space_in_front_of_a_cut_text(docs):
-    rows = [(1, "  \n one two  three four five six", "a"), (2, "x " * 60, "b")]
-    df = docs(rows)
-    taken = {r.doc_id: r.taken for r in mixing.mixed(df).collect()}
-    for r in mixing.mix(df).filter("doc_id = 1").collect():
-        assert rows[0][1].startswith(r.text)
-    assert sum(len(r.text.split()) for r in mixing.mix(df).collect()) == sum(taken.values())
+        got[r.doc_id] = got.get(r.doc_id, 0) + 1
+        assert r.text == texts[r.doc_id]
+    missed = {}
+    for i, r in want.items():
+        assert abs(got.get(i, 0) * r.size - r.taken) <= r.size / 2
+        if got.get(i, 0) * r.size != r.taken:
+            missed[r.source] = missed.get(r.source, 0) + 1
+    assert all(n == 1 for n in missed.values())
+
+
+def test_rows_of_one_id_are_told_apart_by_their_text(docs):
+    rows = [(None, f"word{i} " * 10, "hot") for i in range(50)] + [(1, "w " * 100, "b")]
+    out = mixing.mix(docs(rows)).filter("source = 'hot'")
+    target = mixing.mixed(docs(rows)).filter("source = 'hot'").first().target
+    assert abs(sum(len(r.text.split()) for r in out.collect()) - target) <= 5
 
 
 def test_empty(docs):
