@@ -43,9 +43,13 @@ def digested(records: DataFrame, file: str = "file", offset: str = "offset", pay
                           F.sha2(body, 256).alias("digest"))
 
 
+#: Range of a record; those without an offset are a range of their own.
+_NODE = f"coalesce(offset div {RANGE}, -1)"
+
+
 def _levels(top: int) -> int:
     """Levels above the ranges until one node covers offsets up to ``top``."""
-    n, width = 0, RANGE
+    n, width = 1, RANGE * FANOUT
     while width <= top:
         n, width = n + 1, width * FANOUT
     return n
@@ -54,7 +58,7 @@ def _levels(top: int) -> int:
 def tree(records: DataFrame, levels: int) -> DataFrame:
     """All nodes ``replica, level, file, node, hash`` of the trees over digested records with ``replica``."""
     item = F.struct("offset", "length", "digest")
-    leaf = (records.groupBy("replica", "file", F.expr(f"offset div {RANGE}").alias("node"))
+    leaf = (records.groupBy("replica", "file", F.expr(_NODE).alias("node"))
             .agg(F.sort_array(F.collect_list(item)).alias("items")))
     text = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["offset"], x["length"], x["digest"])), "\n")
     now = store(leaf.select("replica", F.lit(0).alias("level"), "file", "node", F.sha2(text, 256).alias("hash")))
@@ -96,12 +100,14 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     bad = None
     for level in range(levels, -1, -1):
         bad = _mismatches(nodes, level, bad)
-    ranged = both.withColumn("up", F.expr(f"offset div {RANGE}")).join(store(bad), ["file", "up"], "left_semi")
+    ranged = both.withColumn("up", F.expr(_NODE)).join(store(bad), ["file", "up"], "left_semi")
     item = F.sort_array(F.collect_list(F.struct("length", "digest")))
-    one = ranged.groupBy("replica", "file", "offset", "up").agg(item.alias("items"))
-    left, right = (one.filter(F.col("replica") == r).select(
-        "file", "offset", "up", F.col("items").alias(r)) for r in "ab")
-    pairs = left.join(right, ["file", "offset", "up"], "full").filter(~F.col("a").eqNullSafe(F.col("b")))
+    # Null offsets are equal to each other; every other offset is told apart from them.
+    place = ["file", "known", "at", "up"]
+    one = ranged.groupBy("replica", "file", F.col("offset").isNotNull().alias("known"),
+                         F.coalesce("offset", F.lit(0)).alias("at"), "up").agg(item.alias("items"))
+    left, right = (one.filter(F.col("replica") == r).select(*place, F.col("items").alias(r)) for r in "ab")
+    pairs = left.join(right, place, "full").withColumn("offset", F.when(F.col("known"), F.col("at"))).filter(~F.col("a").eqNullSafe(F.col("b")))
     kind = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
     return pairs.select(
         "file", "offset", F.col("up").alias("range"), kind.alias("kind"),

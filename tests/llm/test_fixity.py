@@ -62,6 +62,13 @@ def test_tree_levels_and_roots(spark, records):
     assert got == want
 
 
+def test_null_offsets_take_part(spark):
+    rows = [("f", None, "a"), ("f", None, "b"), ("f", 0, "c"), (None, None, "d")]
+    assert rows_of(spark, rows, rows) == []
+    assert rows_of(spark, rows, rows[2:3]) == [("", None, "missing", 1, None), ("f", None, "missing", 1, None)]
+    assert rows_of(spark, rows[:1], [("f", None, "x")]) == [("f", None, "changed", 1, 1)]
+
+
 def test_edge_cases(spark):
     rows = [(None, 0, "a"), ("f", 0, None), ("f", 0, "twice"), ("f", 10, "r"), ("f", 10, "r")]
     assert rows_of(spark, rows, rows) == []
