@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from proteoframe.llm import shingles
 from proteoframe.llm.base import small_batches, store
 from proteoframe.llm.components import components
 from proteoframe.llm.textstats import encoded
@@ -208,20 +209,44 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             .select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", near_copies: bool = True) -> DataFrame:
     """One row of every component, the one with the smallest id (then text hash); columns as in ``docs``.
 
-    Fingerprints, ids and text hashes decide; texts move once, when rows that
-    repeat both id and text are reduced to one.
+    With ``near_copies`` the components of fingerprints are then linked further: texts at a
+    Jaccard similarity of at least 0.8 on five-word shingles mostly differ in more than
+    DISTANCE bits, so the first rows of the components meet in shingle bands and are compared
+    exactly (:mod:`proteoframe.llm.shingles`).
+
+    Fingerprints, bands, ids and text hashes decide; texts move when rows that repeat both
+    id and text are reduced to one, those of candidates once more as sets. Rows with one id and equal
+    64-bit hashes of their texts count as repeated. Null texts are one text; null ids come
+    last. An empty table gives an empty result; extra columns of any name pass through.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"))
     named = F.coalesce(F.col("_id").cast("string"), F.lit("null"))  # never null, so join and grouping share one exchange
-    prints = store(rows.select("_id", "_hash", F.col("_row")[text].alias("_text"))
-                   .select(F.col("_id").alias("doc_id"), "_hash", fingerprint_column(F.col("_text")).alias("fp")))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_hash")
-    chosen = (prints.join(classes(prints).select("fp", "root"), "fp").groupBy("root")
-              .agg(F.min(order).alias("_first")).select("_first.doc_id", "_first._hash"))
-    picked = store(chosen.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_name"), "_hash"))
+    body = F.col("_text")
+    prints = store(rows.select("_id", "_hash", F.col("_row")[text].alias("_text")).select(
+        F.col("_id").alias("doc_id"), "_hash", fingerprint_column(body).alias("fp"),
+        (shingles.bands(body) if near_copies else F.array().cast("array<bigint>")).alias("bands")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")
+    first = prints.join(classes(prints).select("fp", "root"), "fp").groupBy("root").agg(
+        F.min(F.struct(order.alias("key"), "bands")).alias("_first"))
+    chosen = store(first.select(
+        F.col("root").alias("node"), "_first.key", F.coalesce(F.col("_first.key.doc_id").cast("string"), F.lit("null")).alias("_name"),
+        F.col("_first.key._hash").alias("_hash"), "_first.bands"))
+    if near_copies:
+        pairs = store(shingles.candidates(chosen.select("node", "bands")))
+        involved = store(chosen.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+                         .select("node", "_name", "_hash"))
+        sets = store(rows.select(named.alias("_name"), "_hash", F.col("_row")[text].alias("_text")).join(involved, ["_name", "_hash"])
+                     .select("node", shingles.packed_set(F.col("_text")).alias("shingles"))
+                     .groupBy("node").agg(F.first("shingles").alias("shingles")))
+        known = components(shingles.links(pairs, sets))
+        joined = chosen.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        best = joined.groupBy("root").agg(F.min_by(F.struct("_name", "_hash"), "key").alias("p"))
+        picked = store(best.select("p.*"))
+    else:
+        picked = chosen.select("_name", "_hash")
     return (rows.withColumn("_name", named).drop("_id").join(picked, ["_name", "_hash"])
             .groupBy("_name", "_hash").agg(F.first("_row").alias("_row")).select("_row.*"))
