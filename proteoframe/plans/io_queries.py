@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from proteoframe.operators.windows import residues
 from proteoframe.plans import projections as P
 from proteoframe.plans.catalog import Catalog
-from proteoframe.plans.sqlbase import ATOMS, BMUT, BSEQ, LINES, OCANDS, OMUTS, OSCORES, RES, SEQS, TCAND, r6, with_
+from proteoframe.plans.sqlbase import ATOMS, BMUT, BSEQ, BVAR, LINES, OCANDS, OMUTS, OSCORES, RES, SEQS, TCAND, r6, with_
 from proteoframe.functions import text as S
+from proteoframe.operators import mutate
 from proteoframe.operators import scoring as C
 from proteoframe.session import use_checkpoint_dir
 from proteoframe.sources import fasta, results, structures
@@ -46,17 +47,31 @@ def large_fasta_round_trip(spark, d):
     return fasta.read_large_fasta(spark, path).select("name", F.md5("sequence").alias("digest"))
 
 
-@query(with_(OCANDS, OMUTS, body="""
-SELECT '>' || oc.candidate_id || coalesce(' mutations=' || labels, '') || chr(10) || 'MK' AS value
-FROM oc LEFT JOIN (SELECT candidate_id, string_agg(wt || position || mut, ',' ORDER BY position, wt, mut) AS labels
-                   FROM om GROUP BY candidate_id) l ON l.candidate_id = oc.candidate_id
+def _benchmark_variants(spark, d):
+    """Mutated benchmark sequences: ``pid, set_id, mutations, sequence``."""
+    sets = P.benchmark_mutations(spark, d).groupBy("pid", "set_id").agg(
+        F.sort_array(F.collect_list(F.struct("position", "wt", "mut"))).alias("mutations"))
+    out = mutate.apply_mutations(P.benchmark_sequences(spark, d), sets)
+    return out.select(F.col("parent_id").alias("pid"), "set_id", "mutations", "sequence")
+
+
+@query(with_(BSEQ, BMUT, BVAR, body="""
+SELECT pid, set_id, labels, length(sequence) AS n, md5(sequence) AS digest FROM bvar
+UNION ALL SELECT pid, 0, '', length(sequence), md5(sequence) FROM seqs WHERE length(sequence) > 0
 """))
 def fasta_text(spark, d):
-    cands = P.order_candidates(spark, d).join(P.order_mutations(spark, d), "candidate_id", "left")
-    empty = F.array().cast("array<string>")
-    return fasta.fasta_lines(cands.select(
-        F.lit("").alias("name"), F.col("candidate_id").cast("string").alias("candidate_id"),
-        F.coalesce(S.labels(F.col("mutations")), empty).alias("labels"), F.lit("MK").alias("sequence")))
+    """Roots and mutated candidates written as FASTA with their mutations in the header, and read back."""
+    path = scratch(spark)
+    none = F.array().cast("array<string>")
+    roots = P.benchmark_sequences(spark, d).filter("length(sequence) > 0").select(
+        "pid", F.lit(0).cast("bigint").alias("set_id"), none.alias("labels"), "sequence")
+    mutants = _benchmark_variants(spark, d).select("pid", "set_id", S.labels(F.col("mutations")).alias("labels"), "sequence")
+    fasta.write_fasta(roots.unionByName(mutants).select(
+        F.lit("").alias("name"), F.concat_ws(":", "pid", "set_id").alias("candidate_id"), "labels", "sequence"), path)
+    name = F.split("name", ":")
+    return fasta.read_fasta_headers(spark, path).select(
+        name[0].cast("bigint").alias("pid"), name[1].cast("bigint").alias("set_id"), 
+        F.regexp_extract("header", r"mutations=(\S*)", 1).alias("labels"), F.length("sequence").alias("n"), F.md5("sequence").alias("digest"))
 
 
 @query("""
@@ -139,25 +154,21 @@ def step_results_round_trip(spark, d):
         S.num_mutations(F.col("mutations")).alias("n_mutations"), F.try_element_at("scores", F.lit("ddg")).alias("ddg"))
 
 
-@query(with_(OCANDS, OMUTS, body="""
-SELECT CAST(oc.pid AS VARCHAR) AS step_name, CAST(oc.candidate_id AS VARCHAR) AS candidate_id,
-       coalesce((SELECT string_agg(wt || position || mut, ',' ORDER BY position, wt, mut) FROM om WHERE om.candidate_id = oc.candidate_id), '') AS labels
-FROM oc
+@query(with_(BSEQ, BMUT, BVAR, body="""
+SELECT CAST(pid AS VARCHAR) AS step_name, pid || ':' || set_id AS candidate_id, labels, md5(sequence) AS digest FROM bvar
 """))
 def json_results_dir(spark, d):
-    """Step-result files, an unreadable one among them, read as one folder."""
+    """Step-result files with mutated sequences, an unreadable one among them, read as one folder."""
     path = scratch(spark)
-    cands = P.order_candidates(spark, d).join(P.order_mutations(spark, d), "candidate_id", "left")
-    muts = F.coalesce("mutations", F.expr("cast(array() as array<struct<position:bigint,wt:string,mut:string>>)"))
-    item = F.struct(F.col("candidate_id").cast("string").alias("candidate_id"), F.lit("MK").alias("sequence"),
-                    muts.alias("mutations"))
-    chunk = F.floor(F.col("candidate_id") / 1000).alias("chunk")  # bounds the candidates of a document
-    steps = cands.groupBy("pid", chunk).agg(F.collect_list(item).alias("candidates")).select(
+    item = F.struct(F.concat_ws(":", "pid", "set_id").alias("candidate_id"), "sequence", "mutations")
+    chunk = F.floor(F.col("set_id") / 1000).alias("chunk")  # bounds the candidates of a document
+    steps = _benchmark_variants(spark, d).groupBy("pid", chunk).agg(F.collect_list(item).alias("candidates")).select(
         F.to_json(F.struct(F.col("pid").cast("string").alias("step_name"), "candidates")).alias("value"))
     broken = spark.range(1).select(F.lit('{"step_name": "broken", ').alias("value"))
     steps.unionByName(broken).write.text(path)
     lines = results.read_results_lines(spark, path)
-    return lines.select("step_name", "candidate_id", F.array_join(S.labels(F.col("mutations")), ",").alias("labels"))
+    return lines.select("step_name", "candidate_id", F.array_join(S.labels(F.col("mutations")), ",").alias("labels"),
+                        F.md5("sequence").alias("digest"))
 
 
 @query(with_(TCAND, body="""
@@ -201,20 +212,45 @@ def loaded_candidates(spark, d):
     return parts[0].unionByName(parts[1]).groupBy("kind", "digest").agg(F.count("*").alias("n"))
 
 
-@query(with_(BSEQ, RES, body="""
-SELECT pid, position, aa AS wt, 'A' AS mut, round((position % 7) / 7.0::DOUBLE - 0.5, 6) + 0.0 AS ddg FROM res
+@query(with_(BSEQ, RES, BMUT, BVAR, body="""
+SELECT 'predictions' AS kind, CAST(pid AS VARCHAR) AS id, position, aa AS wt, 'A' AS mut,
+       round((position % 7) / 7.0::DOUBLE - 0.5, 6) + 0.0 AS value, NULL::DOUBLE AS second FROM res
+UNION ALL SELECT 'saturation_mutations', CAST(pid AS VARCHAR), position, wt, mut,
+       round((position % 5) / 5.0::DOUBLE, 6) + 0.0, NULL FROM (SELECT DISTINCT pid, position, wt, mut FROM bmut)
+UNION ALL SELECT 'scores', pid || ':' || set_id, NULL, NULL, NULL,
+       round((length(sequence) % 11) / 11.0::DOUBLE, 6) + 0.0, CASE WHEN set_id % 3 > 0 THEN round(-(set_id % 13) / 13.0::DOUBLE, 6) + 0.0 END
+FROM bvar
 """))
 def model_score_files(spark, d):
-    """Prediction files, one JSON document per protein."""
+    """Files of all three kinds, one JSON document per protein: predictions, saturation gains, candidate scores."""
     path = scratch(spark)
     res = residues(P.benchmark_sequences(spark, d))
-    rows = res.groupBy("pid").agg(F.collect_list(F.struct(
-        "position", F.col("aa").alias("wt"), F.lit("A").alias("mut"),
-        (F.col("position") % 7 / 7.0 - 0.5).alias("ddg"))).alias("predictions"))
-    rows.select(F.col("pid").cast("string").alias("file"), F.to_json(F.struct("predictions")).alias("value")).write.partitionBy(
-        "file").text(path)
-    return results.read_model_scores(spark, f"{path}/*/*.txt", "predictions").select(
-        F.regexp_extract("path", r"file=(\d+)", 1).cast("bigint").alias("pid"), "position", "wt", "mut", "ddg")
+    frames = {
+        "predictions": res.select("pid", F.struct(
+            "position", F.col("aa").alias("wt"), F.lit("A").alias("mut"), (F.col("position") % 7 / 7.0 - 0.5).alias("ddg")).alias("r")),
+        "saturation_mutations": P.benchmark_mutations(spark, d).select("pid", "position", "wt", "mut").distinct().select(
+            "pid", F.struct("position", "wt", "mut", (F.col("position") % 5 / 5.0).alias("gain")).alias("r")),
+        "scores": _benchmark_variants(spark, d).select("pid", F.struct(
+            F.concat_ws(":", "pid", "set_id").alias("id"), (F.length("sequence") % 11 / 11.0).alias("e1_fitness"),
+            F.when(F.col("set_id") % 3 > 0, -(F.col("set_id") % 13) / 13.0).alias("esm1v_pll")).alias("r")),
+    }
+    for kind, rows in frames.items():
+        docs = rows.groupBy("pid").agg(F.collect_list("r").alias(kind))
+        docs.select(F.col("pid").cast("string").alias("file"), F.to_json(F.struct(kind)).alias("value")).write.partitionBy(
+            "file").text(f"{path}/{kind}")
+    by_file = F.regexp_extract("path", r"file=(\d+)", 1)
+    none = F.lit(None)
+
+    def rows_of(kind, row_id, position, wt, mut, value, second):
+        back = results.read_model_scores(spark, f"{path}/{kind}/*/*.txt", kind)
+        return back.select(F.lit(kind).alias("kind"), row_id.alias("id"), position.cast("bigint").alias("position"),
+                           wt.cast("string").alias("wt"), mut.cast("string").alias("mut"), value.alias("value"),
+                           second.cast("double").alias("second"))
+
+    c = F.col
+    return (rows_of("predictions", by_file, c("position"), c("wt"), c("mut"), c("ddg"), none)
+            .unionByName(rows_of("saturation_mutations", by_file, c("position"), c("wt"), c("mut"), c("gain"), none))
+            .unionByName(rows_of("scores", c("id"), none, none, none, c("e1_fitness"), c("esm1v_pll"))))
 
 
 _ATOM_SQL = with_(ATOMS, body="""
@@ -305,12 +341,3 @@ def cif_warnings(spark, d):
 
 def _read_back(atoms):
     return atoms.select(F.col("label").cast("bigint").alias("structure_id"), "position", "het", "aa", "atom", "element", "x", "bfactor")
-
-
-@query(with_(OSCORES, body=f"SELECT score_key, count(*) AS n, {r6('avg(value)')} AS mean FROM os GROUP BY score_key"))
-def report_tables(spark, d):
-    """A report table written as Parquet and read back."""
-    folder = scratch(spark)
-    per = P.order_scores(spark, d).groupBy("score_key").agg(F.count("*").alias("n"), F.avg("value").alias("mean"))
-    results.write_report_tables({"score_means": per}, folder)
-    return spark.read.parquet(f"{folder}/score_means")

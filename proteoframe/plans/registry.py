@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from proteoframe.plans import (
-    biophys_queries, io_queries, model_queries, msa_queries, run_queries, sequence_queries, structure_queries)
+    biophys_queries, io_queries, model_queries, msa_queries, report_queries, run_queries, sequence_queries,
+    structure_queries)
 
 MODULES = (sequence_queries, biophys_queries, msa_queries, run_queries, structure_queries,
-           model_queries, io_queries)
+           model_queries, io_queries, report_queries)
 
 
 def queries() -> dict:

@@ -165,6 +165,20 @@ def quality_filter(spark, d):
     return out.select("pid", "candidate_id", F.array_join("reasons", ";").alias("reasons"), "passed")
 
 
+@query(with_(OCANDS, OSCORES, body="""
+SELECT pid, candidate_id, CASE WHEN parent_id IS NOT NULL AND value / 100.0 < 0.45 THEN 'low_recovery' ELSE '' END AS reasons,
+       NOT (parent_id IS NOT NULL AND coalesce(value / 100.0 < 0.45, false)) AS passed
+FROM oc LEFT JOIN (SELECT candidate_id, value FROM os WHERE score_key = 'val_plddt') USING (candidate_id)
+"""))
+def recovery_filter(spark, d):
+    """The quality filter on designs that recover too little of the native sequence."""
+    recovered = P.order_scores(spark, d).filter("score_key = 'val_plddt'").select(
+        "candidate_id", F.lit("mpnn_recovery").alias("score_key"), (F.col("value") / 100.0).alias("value"))
+    out = C.quality_filter(P.order_candidates(spark, d), recovered, P.order_mutations(spark, d), max_mutations=1000,
+                           min_recovery=0.45, forbid_new_cysteines=False, forbid_prolines_in_helix=False)
+    return out.select("pid", "candidate_id", F.array_join("reasons", ";").alias("reasons"), "passed")
+
+
 @query(with_(OCANDS, body="""
 SELECT CASE WHEN parent_id IS NULL THEN 'parent' ELSE 'variant' END AS kind, count(*) AS n,
        CAST(sum(candidate_id) AS BIGINT) AS id_sum FROM oc GROUP BY ALL

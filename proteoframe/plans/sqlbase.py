@@ -330,6 +330,20 @@ bmut AS (
            substr(sequence, l_partkey % length(sequence) + 1, 1) AS wt, {letter('CAST(l_quantity AS BIGINT)')} AS mut
     FROM lineitem JOIN seqs s ON s.pid = l_suppkey) WHERE wt <> mut)"""
 
+BVAR = """
+vgood AS (
+  SELECT pid, set_id, string_agg(wt || position || mut, ',' ORDER BY position, wt, mut) AS labels
+  FROM bmut GROUP BY pid, set_id HAVING count(DISTINCT position) = count(*)),
+vpieces AS (
+  SELECT g.pid, g.set_id, labels, position, mut, sequence,
+         coalesce(lag(position) OVER w, 0) AS prev, lead(position) OVER w AS nxt
+  FROM vgood g JOIN bmut m ON m.pid = g.pid AND m.set_id = g.set_id JOIN seqs s ON s.pid = g.pid
+  WINDOW w AS (PARTITION BY g.pid, g.set_id ORDER BY position)),
+bvar AS (
+  SELECT pid, set_id, labels, string_agg(substr(sequence, prev + 1, position - prev - 1) || mut
+           || CASE WHEN nxt IS NULL THEN substr(sequence, position + 1) ELSE '' END, '' ORDER BY position) AS sequence
+  FROM vpieces GROUP BY pid, set_id, labels)"""
+
 TCAND = """
 tc AS (
   SELECT source AS pid, doc_id AS candidate_id,

@@ -52,6 +52,12 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
         "path", "rec_idx", _first_word(F.col("header")).alias("name"), _residues(F.col("body")).alias("sequence"))
 
 
+def read_fasta_headers(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_fasta` with the whole ``header``, which names the mutations of a candidate."""
+    return _records(spark, path).select(
+        "path", "rec_idx", "header", _first_word(F.col("header")).alias("name"), _residues(F.col("body")).alias("sequence"))
+
+
 def read_large_fasta(spark: SparkSession, path: str) -> DataFrame:
     """As :func:`read_fasta` without numbers, so without the scan that counts: ``path, name, sequence``."""
     rows = blocks.pieces(spark, path, "\n>").select("path", F.regexp_replace("value", "^>", "").alias("record"))

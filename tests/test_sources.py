@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from proteoframe.sources import fasta, results, structures
 
 
@@ -83,3 +85,16 @@ def test_pdb(spark, tmp_path):
     got = [tuple(r) for r in atoms.orderBy("position", "atom").select("position", "het", "aa", "atom", "x", "bfactor").collect()]
     assert got == [(1, False, "M", "CA", 11.104, 90.5), (1, False, "M", "CB", 12.0, 90.5),
                    (2, True, "X", "CA", 13.0, 80.0), (3, False, "G", "CA", 14.0, 70.0)]
+
+
+def test_a_report_is_visible_whole_or_not_at_all(spark, tmp_path):
+    folder = str(tmp_path)
+    first = results.write_report({"a": spark.range(3), "b": spark.range(2).withColumnRenamed("id", "n")}, folder)
+    broken = {"a": spark.range(9), "c": spark.range(4).selectExpr("raise_error('lost')")}
+    with pytest.raises(Exception, match="lost"):
+        results.write_report(broken, folder)
+    read = results.read_report(spark, folder)
+    assert {k: v.count() for k, v in read.items()} == {"a": 3, "b": 2}
+    results.write_report({"a": spark.range(5)}, folder)
+    assert {k: v.count() for k, v in results.read_report(spark, folder).items()} == {"a": 5}
+    assert {k: v.count() for k, v in results.read_report(spark, folder, first).items()} == {"a": 3, "b": 2}
