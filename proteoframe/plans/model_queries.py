@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from proteoframe.functions import text as S
-from proteoframe.operators import biophys
+from proteoframe.operators import biophys, complexity
 from proteoframe.operators import evidence as E
 from proteoframe.operators import library as L
 from proteoframe.operators import modelscores as MS
@@ -214,7 +214,7 @@ def step_breakdown(spark, d):
     seqs, prot = P.sequences(spark, d), P.protected_positions(spark, d)
     shield = prot.select("pid", "position", F.lit("cysteine").alias("category"))
     hits = scan.liability_hits(seqs).join(shield, ["pid", "position", "category"], "left_anti")
-    return R.step_breakdown(hits, scan.complexity_flags(seqs))
+    return R.step_breakdown(hits, complexity.complexity_flags(seqs))
 
 
 FLAGGED = """
@@ -227,7 +227,7 @@ fl AS (
 
 def _flagged(spark, d, seqs, prot):
     return scan.flagged_positions(
-        scan.motif_hits(seqs), scan.complexity_flags(seqs), P.document_mutations(spark, d), seqs, prot)
+        scan.motif_hits(seqs), complexity.complexity_flags(seqs), P.document_mutations(spark, d), seqs, prot)
 
 
 @query(with_(SEQS, RES, MOTIF, FLAGS, PROT, DOCMUT, FLAGGED, body="SELECT pid, position FROM fl"))
