@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,29 @@ def grid_pairs(a: DataFrame, b: DataFrame, radius: float) -> DataFrame:
     return joined.withColumn("d2", d2).filter(F.col("d2") <= radius * radius)
 
 
+def self_pairs(rows: DataFrame, radius: float, order: tuple[str, ...]) -> DataFrame:
+    """Unordered pairs of rows of one structure at most ``radius`` apart, each once.
+
+    As :func:`grid_pairs`, but by symmetry a row is repeated for half the shell only: its own
+    cube, where the side that is smaller by ``order`` comes first (equal ones do not
+    meet), and the 13 cubes that follow it.
+    """
+    def cube(axis: str) -> Column:
+        return F.floor(F.col(axis) / radius)
+
+    steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
+    shell = F.array(*[F.struct(*[(cube(c) + s).alias(c) for c, s in zip(XYZ, step)], F.lit(step == (0, 0, 0)).alias("own"))
+                      for step in steps])
+    left = rows.select(*[F.col(c).alias(c if c == "structure_id" else f"{c}_a") for c in rows.columns], F.explode(shell).alias("_c"))
+    left = left.select("*", *[F.col(f"_c.{c}").alias(f"_{c}") for c in XYZ], F.col("_c.own").alias("_own")).drop("_c")
+    right = rows.select(*[F.col(c).alias(c if c == "structure_id" else f"{c}_b") for c in rows.columns],
+                        *[cube(c).alias(f"_{c}") for c in XYZ])
+    first = F.struct(*[F.col(f"{c}_a") for c in order]) < F.struct(*[F.col(f"{c}_b") for c in order])
+    d2 = sum(((F.col(f"{c}_a") - F.col(f"{c}_b")) ** 2 for c in XYZ[1:]), (F.col("x_a") - F.col("x_b")) ** 2)
+    joined = left.join(right, ["structure_id", "_x", "_y", "_z"]).filter(~F.col("_own") | first)
+    return joined.drop("_x", "_y", "_z", "_own").withColumn("d2", d2).filter(F.col("d2") <= radius * radius)
+
+
 def _first_atom(name: str) -> Column:
     at = F.col("atom") == name
     return F.max(F.when(at, F.struct(*XYZ)))
@@ -137,6 +162,20 @@ def sphere_points(n: int) -> list[tuple[float, float, float]]:
     return out
 
 
+def _hidden_points(n_points: int):
+    """Column function: the test points behind a plane across (dx, dy, dz), as the bits of ``m1`` and ``m2``."""
+    points = np.array(sphere_points(n_points))
+    bits = np.array([1 << (i % 60) for i in range(n_points)], dtype=np.int64)
+
+    @F.pandas_udf("m1 bigint, m2 bigint")
+    def hidden(dx: pd.Series, dy: pd.Series, dz: pd.Series, plane: pd.Series) -> pd.DataFrame:
+        side = sum(np.multiply.outer(d.to_numpy(), points[:, i]) for i, d in enumerate((dx, dy, dz)))
+        marks = np.where(side > plane.to_numpy()[:, None], bits, 0)
+        return pd.DataFrame({"m1": marks[:, :60].sum(axis=1), "m2": marks[:, 60:].sum(axis=1)})
+
+    return hidden
+
+
 def atom_sasa(atoms: DataFrame, n_points: int = 100, probe: float = 1.4) -> DataFrame:
     """Accessible surface of each heavy atom by test points on its sphere.
 
@@ -152,25 +191,19 @@ def atom_sasa(atoms: DataFrame, n_points: int = 100, probe: float = 1.4) -> Data
         "structure_id", "position", "aa", "het", "atom", radius.alias("r"), *XYZ)
     reach = 2 * (max(K.ATOM_RADII.values()) + probe)
     slim = own.select("structure_id", "position", "atom", "r", *XYZ)
-    near = grid_pairs(slim, slim, reach).filter(
+    near = self_pairs(slim, reach, ("position", "atom")).filter(
         ((F.col("position_a") != F.col("position_b")) | (F.col("atom_a") != F.col("atom_b")))
-        & (F.col("d2") < (F.col("r_a") + F.col("r_b")) ** 2)
-    ).select(
-        "structure_id", F.col("position_a").alias("position"), F.col("atom_a").alias("atom"),
-        *[(F.col(f"{c}_b") - F.col(f"{c}_a")).alias(f"d{c}") for c in XYZ],
-        ((F.col("r_a") ** 2 + F.col("d2") - F.col("r_b") ** 2) / (2 * F.col("r_a"))).alias("plane"),
-    )
-    points = sphere_points(n_points)
-    half = (n_points + 1) // 2
-
-    def hidden(part: list) -> Column:
-        table = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(XYZ, p)], F.lit(1 << i).cast("bigint").alias("bit"))
-                          for i, p in enumerate(part)])
-        return F.aggregate(table, F.lit(0).cast("bigint"), lambda acc, u: acc + F.when(
-            u["x"] * F.col("dx") + u["y"] * F.col("dy") + u["z"] * F.col("dz") > F.col("plane"), u["bit"]).otherwise(0))
-
-    masks = near.select("structure_id", "position", "atom",
-                        hidden(points[:half]).alias("m1"), hidden(points[half:]).alias("m2"))
+        & (F.col("d2") < (F.col("r_a") + F.col("r_b")) ** 2))
+
+    def seen_from(a: str, b: str) -> Column:
+        plane = (F.col(f"r_{a}") ** 2 + F.col("d2") - F.col(f"r_{b}") ** 2) / (2 * F.col(f"r_{a}"))
+        return F.struct(F.col(f"position_{a}").alias("position"), F.col(f"atom_{a}").alias("atom"),
+                        *[(F.col(f"{c}_{b}") - F.col(f"{c}_{a}")).alias(f"d{c}") for c in XYZ], plane.alias("plane"))
+
+    sides = near.select("structure_id", F.explode(F.array(seen_from("a", "b"), seen_from("b", "a"))).alias("n"))
+    masks = sides.select("structure_id", "n.position", "n.atom",
+                         _hidden_points(n_points)("n.dx", "n.dy", "n.dz", "n.plane").alias("m")).select(
+        "structure_id", "position", "atom", "m.m1", "m.m2")
     covered = masks.groupBy("structure_id", "position", "atom").agg(
         F.bit_or("m1").alias("m1"), F.bit_or("m2").alias("m2"))
     free = n_points - F.coalesce(F.bit_count("m1"), F.lit(0)) - F.coalesce(F.bit_count("m2"), F.lit(0))

@@ -7,6 +7,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from proteoframe.operators import library, scan, structure
 from proteoframe.operators.ranking import full_rank
 from proteoframe.streaming import scans
@@ -130,3 +132,28 @@ def test_streaming_scan(spark, tmp_path):
     scans.write_hits(scan.motif_hits(stream), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("pid", "pattern").collect()
     assert sorted(map(tuple, got)) == [(1, "Met1"), (2, "RR")]
+
+
+def test_self_pairs_and_hidden_points(spark):
+    """Half the shell finds every pair once; areas equal counting free test points one by one."""
+    rng = random.Random(12)
+    rows = [(s, i // 2, "CA" if i % 2 else "N", "C" if i % 2 else "N", *(rng.uniform(-9, 9) for _ in range(3))) for s in (1, 2) for i in range(60)]
+    rows += [(3, 1, "CA", "C", 0.0, 0.0, 0.0), (3, 1, "CA", "C", 0.5, 0.0, 0.0), (3, 2, "CA", "C", -1.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "structure_id int, position int, atom string, element string, x double, y double, z double")
+    got = [(r.structure_id, r.position_a, r.atom_a, r.x_a, r.position_b, r.atom_b, r.x_b)
+           for r in structure.self_pairs(df, 4.0, ("position", "atom")).collect()]
+    sides = [frozenset(((s, pa, aa, xa), (s, pb, ab, xb))) for s, pa, aa, xa, pb, ab, xb in got]
+    want = {frozenset(((a[0], *a[1:3], a[4]), (b[0], *b[1:3], b[4]))) for a in rows for b in rows
+            if a[0] == b[0] and a[1:3] != b[1:3] and sum((p - q) ** 2 for p, q in zip(a[4:], b[4:])) <= 16.0}
+    met = {x for x in sides if len({y[1:3] for y in x}) == 2}
+    assert met == want and len(sides) == len(set(sides))
+    radii = {r[:3]: {"N": 1.55, "C": 1.7}[r[3]] + 1.4 for r in rows}
+    areas = {(r.structure_id, r.position, r.atom): r.sasa for r in structure.atom_sasa(
+        df.filter("structure_id < 3").withColumns({"aa": F.lit("A"), "het": F.lit(False)})).collect()}
+    for row in rows[:20]:
+        r, free = radii[row[:3]], 0
+        for u in structure.sphere_points(100):
+            p = [c + r * v for c, v in zip(row[4:], u)]
+            free += all(sum((m - n) ** 2 for m, n in zip(p, o[4:])) >= radii[o[:3]] ** 2
+                        for o in rows if o[0] == row[0] and o[1:3] != row[1:3])
+        assert areas[row[:3]] == pytest.approx(free * 4 * math.pi / 100 * r * r)
