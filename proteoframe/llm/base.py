@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that one piece of a running sum holds on average.
 PIECE_ROWS = 2_000
+#: Rows of ids and hashes that may be sent to every task.
+BROADCAST_ROWS = 1_000_000
 #: Texts handed to Python at a time: bounds a worker's memory when texts are long.
 TEXTS_PER_BATCH = 500
 
@@ -33,6 +35,12 @@ def store(df: DataFrame, **options: object) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """``df``, stored, to be broadcast if it has at most BROADCAST_ROWS rows (of a few short columns); else joined as Spark sees fit."""
+    df = store(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hand texts to Python in small batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from proteoframe.llm.base import store
+from proteoframe.llm.base import small, store
 from proteoframe.llm.textstats import encoded
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 16, 4
@@ -61,29 +61,36 @@ def band_names(shingles: np.ndarray) -> np.ndarray:
     return name.view(np.int64)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def bands(texts: pd.Series) -> pd.Series:
-    sets = map(shingle_set, texts)
-    return pd.Series([band_names(s).tolist() if len(s) else [] for s in sets], dtype=object)
+@F.pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]))
+def signature(texts: pd.Series) -> pd.DataFrame:
+    """Number of shingles and bucket names of each text."""
+    sets = [shingle_set(t) for t in texts]
+    return pd.DataFrame({"n": [len(s) for s in sets], "bands": [band_names(s).tolist() if len(s) else [] for s in sets]})
 
 
 @F.pandas_udf(T.BinaryType())
 def packed_set(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingle_set(t).tobytes() for t in texts], dtype=object)
+    """The set in 32 bits a shingle: two of a text fall together once in millions of pairs."""
+    return pd.Series([np.unique(shingle_set(t).astype(np.uint32)).tobytes() for t in texts], dtype=object)
 
 
 def candidates(named: DataFrame) -> DataFrame:
-    """``named``: ``node``, ``bands``. Pairs ``a``, ``b``: each node with the first node of its buckets."""
-    rows = named.select("node", F.explode("bands").alias("bucket"))
-    first = rows.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return rows.join(first, "bucket").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    """``named``: ``node``, ``n``, ``bands``. Pairs ``a``, ``b``: each node with the first node of its buckets.
+
+    Sets whose sizes are further apart than SIMILARITY allows are no candidates.
+    """
+    rows = named.select("node", "n", F.explode("bands").alias("bucket"))
+    first = (rows.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("f"), F.count("*").alias("rows")).filter("rows > 1")
+             .select("bucket", F.col("f.node").alias("a"), F.col("f.n").alias("m")))
+    return (rows.join(first, "bucket").filter("a <> node and 5 * least(n, m) >= 4 * greatest(n, m)")
+            .select("a", F.col("node").alias("b")).distinct())
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept = []
         for left, right in zip(batch.column(2), batch.column(3)):
-            x, y = (np.frombuffer(s.as_py(), dtype=np.uint64) for s in (left, right))
+            x, y = (np.frombuffer(s.as_py(), dtype=np.uint32) for s in (left, right))
             both = len(np.intersect1d(x, y, assume_unique=True))
             # In whole numbers: both / (all of either) against 4 / 5.
             kept.append(5 * both >= 4 * (len(x) + len(y) - both))
@@ -93,6 +100,7 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs`` whose sets (``node``, ``shingles``) are similar enough."""
+    firsts = sets.join(small(pairs.select(F.col("a").alias("node")).distinct()), "node", "left_semi")
     both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y"))
+            .join(firsts.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y"))
     return store(both.mapInArrow(_similar, "a long, b long"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from proteoframe.llm import shingles
-from proteoframe.llm.base import small_batches, store
+from proteoframe.llm.base import small, small_batches, store
 from proteoframe.llm.components import components
 from proteoframe.llm.textstats import encoded
 
@@ -228,17 +228,18 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", near_c
     body = F.col("_text")
     prints = store(rows.select("_id", "_hash", F.col("_row")[text].alias("_text")).select(
         F.col("_id").alias("doc_id"), "_hash", fingerprint_column(body).alias("fp"),
-        (shingles.bands(body) if near_copies else F.array().cast("array<bigint>")).alias("bands")))
+        (shingles.signature(body) if near_copies else F.lit(None)).alias("shingles")))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")
     first = prints.join(classes(prints).select("fp", "root"), "fp").groupBy("root").agg(
-        F.min(F.struct(order.alias("key"), "bands")).alias("_first"))
+        F.min_by(F.struct(order.alias("key"), "shingles"), order).alias("_first"))
     chosen = store(first.select(
         F.col("root").alias("node"), "_first.key", F.coalesce(F.col("_first.key.doc_id").cast("string"), F.lit("null")).alias("_name"),
-        F.col("_first.key._hash").alias("_hash"), "_first.bands"))
+        F.col("_first.key._hash").alias("_hash"), "_first.shingles"))
     if near_copies:
-        pairs = store(shingles.candidates(chosen.select("node", "bands")))
-        involved = store(chosen.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+        pairs = store(shingles.candidates(chosen.select("node", "shingles.*")))
+        involved = small(chosen.join(small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "node", "left_semi")
                          .select("node", "_name", "_hash"))
+        # Texts of candidates alone go on, and only as sets.
         sets = store(rows.select(named.alias("_name"), "_hash", F.col("_row")[text].alias("_text")).join(involved, ["_name", "_hash"])
                      .select("node", shingles.packed_set(F.col("_text")).alias("shingles"))
                      .groupBy("node").agg(F.first("shingles").alias("shingles")))
