@@ -133,22 +133,33 @@ def score_pairs(scores: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def score_correlation(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of the named keys.
+def score_correlation(scores: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Pairwise-complete Pearson correlation of all score keys, or of the named ones.
 
-    One pass folds a candidate to a wide row, a second one aggregates all pairs
-    of columns at once; no pair of rows is ever built.
+    The keys need not be known: a candidate's scores are folded into one short list,
+    which gives one row for each pair of its keys, and the co-moments of a pair are
+    summed in every task before they meet. Pairs of fewer than three candidates or without
+    spread are 0, the diagonal is 1. Keys that share no candidate are pairs as well.
     """
-    keys = sorted(keys)
-    wide = scores.groupBy("candidate_id").pivot("score_key", keys).agg(F.max("value"))
-    cells = [F.struct(F.lit(k).alias("key_x"), F.lit(k).alias("key_y"), F.lit(1.0).alias("r")) for k in keys]
-    pairs = [(a, b) for n, a in enumerate(keys) for b in keys[n + 1:]]
-    sums = wide.agg(*[F.corr(a, b).alias(f"r{n}") for n, (a, b) in enumerate(pairs)],
-                    *[F.count(F.col(a) + F.col(b)).alias(f"n{n}") for n, (a, b) in enumerate(pairs)])
-    for n, (a, b) in enumerate(pairs):
-        r = F.when((F.col(f"n{n}") < 3) | F.col(f"r{n}").isNull() | F.isnan(f"r{n}"), 0.0).otherwise(F.col(f"r{n}"))
-        cells += [F.struct(F.lit(x).alias("key_x"), F.lit(y).alias("key_y"), r.alias("r")) for x, y in ((a, b), (b, a))]
-    return sums.select(F.inline(F.array(*cells)))
+    rows = scores.filter(F.col("value").isNotNull() & F.col("score_key").isNotNull())
+    if keys is not None:
+        rows = rows.filter(F.col("score_key").isin(*keys))
+    own = rows.groupBy("candidate_id", "score_key").agg(F.max("value").alias("value"))
+    held = own.groupBy("candidate_id").agg(F.sort_array(F.collect_list(F.struct("score_key", "value"))).alias("s"))
+    later = F.transform("s", lambda x, i: F.transform(
+        F.slice("s", i + 2, F.size("s")), lambda y: F.struct(
+            x["score_key"].alias("key_x"), y["score_key"].alias("key_y"), x["value"].alias("x"), y["value"].alias("y"))))
+    sums = held.select(F.inline(F.flatten(later))).groupBy("key_x", "key_y").agg(
+        # F.corr divides by zero where a key has one value.
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"), F.count("*").alias("n"))
+    r = F.when((F.col("n") < 3) | F.col("r").isNull() | F.isnan("r"), 0.0).otherwise(F.col("r"))
+    found = sums.select("key_x", "key_y", r.alias("r"))
+    both = found.unionByName(found.select(F.col("key_y").alias("key_x"), F.col("key_x").alias("key_y"), "r"))
+    names = F.collect_set("score_key") if keys is None else F.array(*[F.lit(k) for k in sorted(set(keys))])
+    matrix = rows.agg(names.alias("k")) if keys is None else scores.sparkSession.range(1).select(names.alias("k"))
+    cells = matrix.select("k", F.explode("k").alias("key_x")).select("key_x", F.explode("k").alias("key_y"))
+    return cells.join(both, ["key_x", "key_y"], "left").select(
+        "key_x", "key_y", F.when(F.col("key_x") == F.col("key_y"), 1.0).otherwise(F.coalesce("r", F.lit(0.0))).alias("r"))
 
 
 def score_histogram(scores: DataFrame, key: str, bins: int = 30) -> DataFrame:

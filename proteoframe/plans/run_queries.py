@@ -272,7 +272,7 @@ SELECT x.score_key AS key_x, y.score_key AS key_y,
 FROM keys x CROSS JOIN keys y LEFT JOIN pr ON pr.key_x = x.score_key AND pr.key_y = y.score_key
 """))
 def score_correlation(spark, d):
-    return C.score_correlation(P.order_scores(spark, d), [*P.ORDER_KEYS.values(), "plddt", "val_plddt"])
+    return C.score_correlation(P.order_scores(spark, d))
 
 
 @query(with_(OSCORES, body=f"""

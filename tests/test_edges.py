@@ -1,8 +1,10 @@
 """Branches and edge cases that the registered queries do not reach."""
 
 import math
+import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,3 +231,30 @@ def test_ranks_of_a_hot_key_come_from_several_tasks(spark):
     assert {r.id: r["rank"] for r in got} == want
     assert tasks > 2
     assert ranking.full_rank(df.drop("_task").filter("v is null"), ["k"], "v", "id").count() == 0
+
+
+def test_correlation_of_unknown_keys(spark):
+    rng = random.Random(6)
+    rows = [(str(i), k, rng.gauss(0, 1)) for i in range(40) for k in ("a", "b", "c") if rng.random() < 0.8]
+    rows += [(str(i), "flat", 3.0) for i in range(40)] + [("x", "alone", 1.0), ("0", "two", 1.0), ("1", "two", 2.0), ("2", "a", None)]
+    rows += [("0", "a", 9.5)]  # the largest value of a key counts
+    df = spark.createDataFrame(rows, SCORES)
+    got = {(r.key_x, r.key_y): r.r for r in scoring.score_correlation(df).collect()}
+    best = {}
+    for c, k, v in rows:
+        if v is not None:
+            best[c, k] = max(v, best.get((c, k), v))
+    names = sorted({k for _, k in best})
+    assert set(got) == {(x, y) for x in names for y in names}
+    for x in names:
+        for y in names:
+            pairs = [(best[c, x], best[c, y]) for c in {c for c, _ in best} if (c, x) in best and (c, y) in best]
+            if x == y:
+                want = 1.0
+            elif len(pairs) < 3 or "flat" in (x, y):
+                want = 0.0
+            else:
+                want = np.corrcoef(*zip(*pairs))[0, 1]
+            assert got[x, y] == pytest.approx(want, abs=1e-9)
+    some = {(r.key_x, r.key_y): r.r for r in scoring.score_correlation(df, ["a", "b", "none"]).collect()}
+    assert some[("a", "b")] == got[("a", "b")] and some[("none", "a")] == 0.0 and len(some) == 9
