@@ -76,3 +76,18 @@ def test_error_bounds_hold(length):
     slack = (1 + ea)[:, None] * eb[None, :] + ea[:, None] * (1 + eb)[None, :] + ea[:, None] * eb[None, :]
     assert (np.abs(about - a @ b.T) <= slack + 1e-12).all()
     assert (nearest._products(ca, cb) == ca.astype(np.int64) @ cb.astype(np.int64).T).all()
+
+
+def test_vectors_of_any_finite_size(spark):
+    """Doubles whose squares overflow or vanish take part and are ranked as their multiples are."""
+    rng = np.random.default_rng(3)
+    base = [rng.normal(size=8) for _ in range(60)]
+    sizes = [2.0 ** rng.integers(-560, 560) for _ in base]
+    plain = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+    huge = spark.createDataFrame([(i, (v * s).tolist()) for i, (v, s) in enumerate(zip(base, sizes))] + [
+        (70, [1e160] * 8), (71, [1e-170] * 8), (72, [5e-324] + [0.0] * 7)], "vec_id long, embedding array<double>")
+    a, b = ({(r.query_id, r.rank): (r.vec_id, r.score) for r in nearest.nearest(df.filter("vec_id % 10 = 0"), df.filter(
+        "vec_id < 60"), 5).collect()} for df in (plain, huge))
+    assert {k: v for k, v in b.items() if k[0] < 60} == a
+    near = {r.query_id: (r.vec_id, r.score) for r in nearest.nearest(huge.filter("vec_id = 70"), huge.filter("vec_id >= 70"), 1).collect()}
+    assert near[70][0] == 71 and near[70][1] == pytest.approx(1.0)
