@@ -95,7 +95,10 @@ def packed(docs: DataFrame, budget: int = BUDGET, buckets: int = BUCKETS, seed:
 
     ``n_tokens`` counts white-space words unless ``length`` is given, so ``budget``
     is one of words: an unspaced text counts as one. Lengths above EXACT share
-    cells, so boundaries there are near the optimum only.
+    cells of 2048 for each power of two. A boundary is the longest length of its cell, so it lies
+    above the optimal one by less than a 2048th of itself: a row of such a bucket is padded
+    by less than that share more than in the optimum, and the total by less than 0.05 %
+    of the padded words of these buckets. Shorter rows are packed optimally.
     """
     size = word_count(F.col(text)) if length is None else length
     row = F.struct(*(c for c in docs.columns if c not in RESULT)).alias("_row")
