@@ -57,16 +57,18 @@ def place() -> Column:
     return F.col("_n") + F.col("at") - F.col("_first")
 
 
-def running_counts(rows: DataFrame, marks: dict[str, Column]) -> DataFrame:
+def running_counts(rows: DataFrame, marks: dict[str, Column], **firsts: Column) -> DataFrame:
     """Add ``line_no`` and, for each mark, the number of marked rows of the file so far, the row itself included.
 
+    ``firsts`` are taken from the first piece of the file, as in :func:`sums_before`.
+
     Counting goes along the scan in whole Arrow batches and starts anew in every block; the
     sums of the earlier blocks are added by a join. ``rows`` come straight from
     :func:`pieces`.
     """
     names = list(marks)
     own = rows.withColumns({f"_is_{k}": c for k, c in marks.items()})
-    before = sums_before(own, {k: F.col(f"_is_{k}") for k in names})
+    before = sums_before(own, {k: F.col(f"_is_{k}") for k in names}, **firsts)
     keyed = own.withColumn("_key", F.xxhash64("path", "block"))
     schema = T.StructType(keyed.schema.fields + [T.StructField(k, T.LongType()) for k in names])
 
@@ -92,4 +94,4 @@ def running_counts(rows: DataFrame, marks: dict[str, Column]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
 
     counted = keyed.mapInArrow(count, schema).join(before, ["path", "block"])
-    return counted.select("path", place().alias("line_no"), "value", *[(F.col(k) + F.col(f"_{k}")).alias(k) for k in names])
+    return counted.select("path", place().alias("line_no"), "value", *firsts, *[(F.col(k) + F.col(f"_{k}")).alias(k) for k in names])

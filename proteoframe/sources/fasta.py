@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from proteoframe.operators import msa as M
@@ -20,22 +20,26 @@ def _split_record(record: Column) -> tuple[Column, Column]:
     return header, body
 
 
-def _records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: ``path, rec_idx, header, body``.
+def _records(spark: SparkSession, path: str, **marks: Column) -> DataFrame:
+    """One row per record: ``path, rec_idx, header, body`` and how many of the ``marks`` stand up to it in its file.
 
     Files are split between records, however large they are. ``rec_idx`` counts from 0 in
     each file; what stands before the first ``>`` is no record.
     """
     pieces = blocks.pieces(spark, path, "\n>")
-    before = blocks.sums_before(pieces, {}, _headed=F.col("value").startswith(">"))
-    numbered = pieces.join(before, ["path", "block"])
-    place = blocks.place()
+    headed = F.col("value").startswith(">")
+    if marks:
+        numbered = blocks.running_counts(pieces, marks, _headed=headed)
+    else:
+        before = blocks.sums_before(pieces, {}, _headed=headed)
+        numbered = pieces.join(before, ["path", "block"]).withColumn("line_no", blocks.place())
+    place = F.col("line_no")
     # The first piece of a file keeps its mark, and without one it is no record.
     rec_idx = F.when(F.col("_headed"), place).otherwise(place - 1).cast("int")
     record = F.when(place == 0, F.substring("value", 2, 2 ** 31 - 1)).otherwise(F.col("value"))
-    rows = numbered.select("path", rec_idx.alias("rec_idx"), record.alias("record")).filter("rec_idx >= 0")
+    rows = numbered.select("path", rec_idx.alias("rec_idx"), record.alias("record"), *marks).filter("rec_idx >= 0")
     header, body = _split_record(F.col("record"))
-    return rows.select("path", "rec_idx", header.alias("header"), body.alias("body"))
+    return rows.select("path", "rec_idx", header.alias("header"), body.alias("body"), *marks)
 
 
 def _residues(body: Column) -> Column:
@@ -110,14 +114,34 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
         parts[0].alias("target"), F.trim(parts[1]).alias("tseq"))
 
 
+#: A line of its own that parts the alignments of one file.
+PARTING = r"(?:^|\n)//\s*$"
+
+
 def read_msa(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Aligned records of the valid files, and a warning for each ragged one."""
-    msa = _records(spark, path).select(
-        F.col("path").alias("pid"), F.col("rec_idx").cast("bigint").alias("rec_idx"),
-        _first_word(F.col("header")).alias("rec_name"), _residues(F.col("body")).alias("aligned"))
+    """Aligned records of the valid alignments, and a warning for each ragged one.
+
+    A file holds one alignment, whose ``pid`` is its path, or many of them parted by lines
+    ``//``: the n-th such line of a file begins the alignment ``path#n``.
+    """
+    parted = F.col("value").rlike(PARTING)
+    rows = _records(spark, path, partings=parted)
+    # The line stands at the end of the record before it, which is not of the new alignment.
+    n = F.col("partings") - F.col("body").rlike(PARTING).cast("int")
+    msa = rows.select(
+        F.when(n > 0, F.concat_ws("#", "path", n)).otherwise(F.col("path")).alias("pid"),
+        F.col("rec_idx").cast("bigint").alias("rec_idx"), _first_word(F.col("header")).alias("rec_name"),
+        _residues(F.regexp_replace("body", PARTING, "")).alias("aligned"))
     return M.valid_msa(msa), M.msa_warnings(msa)
 
 
+def write_msa(df: DataFrame, path: str) -> None:
+    """Alignments ``df(pid, rec_idx, aligned)`` as part files of many alignments each, records in order."""
+    place = F.row_number().over(Window.partitionBy("pid").orderBy("rec_idx"))
+    parting = F.when(place == 1, "//\n").otherwise("")
+    df.select(F.concat(parting, F.lit(">r"), F.col("rec_idx").cast("string"), F.lit("\n"), "aligned").alias("value")).write.text(path)
+
+
 def read_designs(spark: SparkSession, path: str, drop_native: bool = True) -> DataFrame:
     """Designed sequences with ``score`` and ``recovery`` from the header list.
 

@@ -98,3 +98,25 @@ def test_a_report_is_visible_whole_or_not_at_all(spark, tmp_path):
     results.write_report({"a": spark.range(5)}, folder)
     assert {k: v.count() for k, v in results.read_report(spark, folder).items()} == {"a": 5}
     assert {k: v.count() for k, v in results.read_report(spark, folder, first).items()} == {"a": 3, "b": 2}
+
+
+def test_many_alignments_in_one_file(spark, tmp_path):
+    rows = [(p, i, ("AC-" if p % 3 else "ACD") + "K" * (i if p % 4 == 0 else 2)) for p in range(40) for i in range(p % 5 + 1)]
+    fasta.write_msa(spark.createDataFrame(rows, "pid long, rec_idx long, aligned string").repartition(7), str(tmp_path / "m"))
+    assert len(list((tmp_path / "m").glob("part-*"))) < 10
+    msa, warnings = fasta.read_msa(spark, str(tmp_path / "m"))
+    want = {}
+    for p, _, a in rows:
+        want.setdefault(p, []).append(a)
+    got = {}
+    for r in msa.orderBy("pid", "rec_idx").collect():
+        got.setdefault(r.pid, []).append(r.aligned)
+    assert sorted(got.values()) == sorted(v for v in want.values() if len({len(a) for a in v}) == 1)
+    assert warnings.count() == sum(len({len(a) for a in v}) > 1 for v in want.values())
+
+
+def test_alignment_of_a_file_keeps_its_path(spark, tmp_path):
+    (tmp_path / "a.fasta").write_text(">x\nAC\n>y\nA-\n//\n>z\nACD\n")
+    msa, _ = fasta.read_msa(spark, str(tmp_path / "a.fasta"))
+    got = [(r.pid.rsplit("/", 1)[1], r.rec_idx, r.aligned) for r in msa.orderBy("rec_idx").collect()]
+    assert got == [("a.fasta", 0, "AC"), ("a.fasta", 1, "A-"), ("a.fasta#1", 2, "ACD")]
