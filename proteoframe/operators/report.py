@@ -127,9 +127,11 @@ def mutation_matrix(variants: DataFrame, n: int = 50) -> DataFrame:
     single = variants.filter((F.size("mutations") == 1) & F.col("composite_score").isNotNull()).select(
         "pid", m["position"].alias("position"), m["mut"].alias("mut"), "composite_score", "seq_no")
     cells = single.groupBy("pid", "position", "mut").agg(F.max_by("composite_score", "seq_no").alias("s"))
-    aggs = [F.max(F.when(F.col("mut") == a, F.col("s"))).alias(f"aa_{a}") for a in K.ALPHABET]
-    rows = cells.groupBy("pid", "position").agg(F.max("s").alias("best"), *aggs)
-    return top_per_key(rows, ["pid"], [F.desc("best"), "position"], n)
+    # A position has one cell per residue: they travel as one short list, columns are cut from the rows kept.
+    cell = F.when(F.col("mut").isNotNull(), F.struct("mut", "s"))
+    rows = cells.groupBy("pid", "position").agg(F.max("s").alias("best"), F.collect_list(cell).alias("_cells"))
+    top = top_per_key(rows, ["pid"], [F.desc("best"), "position"], n).withColumn("_s", F.map_from_entries("_cells"))
+    return top.select("pid", "position", "best", *[F.try_element_at("_s", F.lit(a)).alias(f"aa_{a}") for a in K.ALPHABET], "rank")
 
 
 def unique_step_mutations(muts: DataFrame, category: Column) -> DataFrame:

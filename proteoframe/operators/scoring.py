@@ -54,25 +54,39 @@ def score_map(scores: DataFrame) -> DataFrame:
         "candidate_id", F.map_from_entries(S.last_of_each(F.col("_e"), "score_key")).alias("scores"))
 
 
-def composite_in_row(cands: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """``composite_score`` of candidates that carry their scores as a map.
+def _weighted_z(value: Column, key: str, weight: float, stats: dict) -> Column:
+    s = stats.get(key)
+    z = value if s is None else (value - s["mean"]) / s["std"] if s["std"] > 1e-8 else F.lit(0.0)
+    return weight * (-z if key in K.LOWER_IS_BETTER else z)
 
-    The statistics of all maps come as one small map, at most one entry per
-    weight; nothing is joined by candidate.
+
+def composite_in_row(cands: DataFrame, weights: dict[str, float] | None = None,
+                     entries: list[tuple[Column, Column]] | None = None) -> DataFrame:
+    """``composite_score`` of candidates that carry their scores as a map, or as ``entries`` (key, value) in columns.
+
+    The statistics are at most one row per weight and become constants of the expression; nothing
+    is joined by candidate. ``entries`` of a candidate have different keys; they are weighed as they
+    are, while a map that is made in the same projection would be made again for every weight.
+    ``cands`` is read twice: pass a stored table if it is dear.
     """
     w = {**K.DEFAULT_WEIGHTS, **(weights or {})}
-    long = cands.select(F.explode("scores").alias("score_key", "value")).filter(F.col("score_key").isin(*w))
-    entry = F.struct("score_key", F.struct("mean", "std").alias("s"))
-    stats = score_stats(long).agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+    if entries is None:
+        long = cands.select(F.explode("scores").alias("score_key", "value"))
+        entries = [(F.lit(k), F.try_element_at("scores", F.lit(k))) for k in w]
+    else:
+        long = cands.select(F.inline(F.array(*[F.struct(k.alias("score_key"), v.alias("value")) for k, v in entries])))
+    long = long.filter(F.col("score_key").isin(*w) & F.col("value").isNotNull())
+    stats = {r["score_key"]: r for r in score_stats(long).collect()}
     num = den = F.lit(0.0)
-    for key, weight in w.items():
-        value = F.try_element_at("scores", F.lit(key))
-        s = F.try_element_at("_stats", F.lit(key))
-        z = F.when(s.isNull(), value).when(s["std"] > 1e-8, (value - s["mean"]) / s["std"]).otherwise(0.0)
-        num = num + F.when(value.isNotNull(), weight * (-z if key in K.LOWER_IS_BETTER else z)).otherwise(0.0)
-        den = den + F.when(value.isNotNull(), weight).otherwise(0.0)
-    return cands.withColumn("_stats", stats).withColumn(
-        "composite_score", F.when(den > 0, num / den).otherwise(0.0)).drop("_stats")
+    for key, value in entries:
+        here = value.isNotNull()
+        term = weight = None
+        for k, x in w.items():
+            z = _weighted_z(value, k, x, stats)
+            term = F.when(here & (key == k), z) if term is None else term.when(here & (key == k), z)
+            weight = F.when(here & (key == k), x) if weight is None else weight.when(here & (key == k), x)
+        num, den = num + term.otherwise(0.0), den + weight.otherwise(0.0)
+    return cands.withColumn("composite_score", F.when(den > 0, num / den).otherwise(0.0))
 
 
 def filter_reasons(scores: Column, muts: Column, structure: Column | None = None, *,

@@ -16,6 +16,7 @@ from proteoframe.operators.ranking import full_rank, top_per_key
 from proteoframe.plans import projections as P
 from proteoframe.plans.catalog import Catalog
 from proteoframe.plans.sqlbase import COMPOSITE, OCANDS, OMUTS, OSCORES, RSCORES, RUN, r6, with_
+from proteoframe.session import stored
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -33,20 +34,15 @@ TIER = "CASE WHEN step_no <= 2 THEN 1 WHEN step_no <= 4 THEN 2 ELSE 3 END"
 
 def variants(spark, d):
     """Run variants with mutation array, score map and composite score."""
-    v = P.run_variants(spark, d)
     key = S.lookup(F.col("step_no"), {k: s[1] for k, s in P.RUN_STEPS.items()})
-    scores = F.map_filter(
-        F.map_concat(
-            F.create_map(key, F.col("score")),
-            F.create_map(F.lit("e1_fitness"), F.col("e1_fitness"), F.lit("esm1v_delta"), F.col("esm1v_delta")),
-        ), lambda k, x: x.isNotNull())
-    frame = v.select(
+    # Read for the statistics and for the rows.
+    v = stored(P.run_variants(spark, d).withColumn("own_key", key))
+    entries = [(F.lit(k), F.col(k)) for k in ("e1_fitness", "esm1v_delta")] + [(F.col("own_key"), F.col("score"))]
+    return C.composite_in_row(v, entries=entries).select(
         "pid", "candidate_id", "source_step", "step_no", "position", "wt", "mut", "score",
         (F.col("step_no") * 1000000 + F.col("position") * 100 + F.ascii("mut")).alias("seq_no"),
         F.array(F.struct("position", "wt", "mut", "source_step")).alias("mutations"),
-        scores.alias("scores"),
-    )
-    return C.composite_in_row(frame)
+        S.map_of_present(entries).alias("scores"), "composite_score")
 
 
 def singles(spark, d):
