@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from proteoframe.functions import text as S
 from proteoframe.operators import scoring
 from proteoframe.plans import run_queries
+from proteoframe.session import shared, shared_steps
 
 
 def test_entries_score_as_their_map(spark):
@@ -23,3 +24,17 @@ def test_a_composite_score_makes_no_map(spark):
     plan = run_queries.variants(spark, "/root/testdata/sf0.001").select("pid", "composite_score")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "map(" not in text and "Aggregate" not in text
+
+
+def test_steps_of_one_result_are_made_once(spark):
+    made = []
+
+    @shared
+    def step(spark, d):
+        made.append(d)
+        return spark.range(3)
+
+    with shared_steps():
+        assert [step(spark, d).count() for d in ("a", "a", "b")] == [3, 3, 3] and made == ["a", "b"]
+    step(spark, "a")
+    assert made == ["a", "b", "a"]
