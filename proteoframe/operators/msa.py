@@ -37,12 +37,12 @@ def wt_record(msa: DataFrame, wild_types: DataFrame | None = None) -> DataFrame:
     record = F.struct("rec_idx", "aligned")
     if wild_types is None:
         return msa.groupBy("pid").agg(F.min_by(record, "rec_idx").alias("r")).select("pid", "r.*")
-    joined = msa.join(wild_types.select("pid", F.col("sequence").alias("_wt")), "pid", "left")
-    same = F.replace("aligned", F.lit(K.GAP), F.lit("")) == F.col("_wt")
-    return joined.groupBy("pid").agg(
-        F.min_by(record, F.when(same, F.col("rec_idx"))).alias("hit"),
-        F.min_by(record, "rec_idx").alias("first"),
-    ).select("pid", F.coalesce("hit", "first").alias("r")).select("pid", "r.*")
+    # Met by the residues, not by protein alone, which would deal all records of a protein to one task.
+    wanted = wild_types.select("pid", F.col("sequence").alias("_wt")).distinct()
+    same = msa.withColumn("_wt", F.replace("aligned", F.lit(K.GAP), F.lit(""))).join(wanted, ["pid", "_wt"])
+    hit = same.groupBy("pid").agg(F.min_by(record, "rec_idx").alias("hit"))
+    first = msa.groupBy("pid").agg(F.min_by(record, "rec_idx").alias("first"))
+    return first.join(hit, "pid", "left").select("pid", F.coalesce("hit", "first").alias("r")).select("pid", "r.*")
 
 
 def column_map(wt: DataFrame) -> DataFrame:
