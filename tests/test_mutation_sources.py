@@ -28,8 +28,9 @@ def test_sources_and_totals(spark):
     assert {(r.pid, r.position, r.wt, r.mut): r.n_sources for r in got.collect()} == {m: len(s) for m, s in sources.items()}
     want = {p: (sum(m[0] == p for m in sources), len({m[1] for m in sources if m[0] == p}),
                 sum(m[0] == p and len(s) > 1 for m, s in sources.items())) for p in range(4)}
-    totals = evidence.evidence_totals(got).collect()
-    assert {r.pid: (r.n_mutations, r.n_positions, r.n_multi) for r in totals} == want
+    for proposals in (None, muts):
+        totals = evidence.evidence_totals(got, proposals).collect()
+        assert {r.pid: (r.n_mutations, r.n_positions, r.n_multi) for r in totals} == want
 
     category = evidence.mutation_category(F.col("wt"), F.col("mut"), F.array("source_step"))
     unique = report.unique_step_mutations(muts, category, STEPS)
@@ -37,9 +38,17 @@ def test_sources_and_totals(spark):
     assert Counter(map(tuple, unique.collect())) == Counter(map(tuple, plain.collect()))
 
 
+def _plan(query, spark):
+    return query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_a_mutation_is_held_once(spark):
     """Variants, then mutations by source, used to be held in one task next to each other."""
-    for query, exchanges in ((run_queries.unique_step_mutations, 2),):
-        plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-        assert plan.count("Aggregate [") == exchanges and "l_linenumber#" in plan
-        assert "source_step" not in plan.split("Aggregate [")[-1].split("]")[0]
+    plan = _plan(run_queries.unique_step_mutations, spark)
+    assert plan.count("Aggregate [") == 2
+    assert "source_step" not in plan.split("Aggregate [")[-1].split("]")[0]
+
+
+def test_totals_hold_mutations_beside_proteins_only(spark):
+    keys = [x.split("Aggregate [")[1].split("]")[0] for x in _plan(run_queries.evidence_totals, spark).splitlines() if "Aggregate [" in x]
+    assert sorted(len(k.split(", ")) for k in keys) == [1, 1, 1, 2, 4]
